@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ITEM_KEYS = ("snapshot_date", "item_id")
+ITEM_KEYS = ("item_id", "snapshot_date")
 ARRIVAL = ("ord1", "ord2")
 
 

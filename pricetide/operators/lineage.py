@@ -37,11 +37,13 @@ def stamp_lineage(df: DataFrame, run: Run, layer: str) -> DataFrame:
     return df.withColumns(lineage_columns(run, layer))
 
 
-def run_manifest(audit: DataFrame, run: Run, layer: str) -> DataFrame:
+def run_manifest(audit: DataFrame, run: Run, layer: str, rejections: bool = False) -> DataFrame:
     """One row per snapshot: lineage and totals of the run, from its audit."""
+    rejected = ("n_missing_key", "n_duplicate", "n_lookup_failed") if rejections else ()
     totals = audit.select(
         "snapshot_date",
         F.col("n_received").alias("n_offers_received"),
+        *rejected,
         F.col("n_accepted").alias("n_items_processed"),
         F.col("n_accepted").alias("n_records"),
     )

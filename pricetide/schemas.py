@@ -7,12 +7,14 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DecimalType,
+    DoubleType,
     IntegerType,
     LongType,
     MapType,
     StringType,
     StructField,
     StructType,
+    TimestampType,
     VarcharType,
 )
 
@@ -120,6 +122,96 @@ LANDED_METADATA = _struct(
 )
 LANDED_ENVELOPE = _struct(metadata=LANDED_METADATA, dados=ArrayType(LANDED_RECORD))
 
+# --- lake tables; the snapshot date is the partition key -----------------------
+
+_TEXT_DEAL = dict(
+    sale_price=StringType(),
+    list_price=StringType(),
+    discount=StringType(),
+    rating_label=StringType(),
+    rating_pct=StringType(),
+)
+_LINEAGE = dict(
+    layer=StringType(),
+    version=StringType(),
+    run_id=StringType(),
+    environment=StringType(),
+    sources=ArrayType(StringType()),
+    ingested_at=TimestampType(),
+)
+_DATED = dict(processed_at=TimestampType(), snapshot_date=DateType())
+
+BRONZE_RECORDS = _struct(
+    item_id=StringType(),
+    name=StringType(),
+    price=PRICE,
+    **_TEXT_DEAL,
+    store=StringType(),
+    tags=ArrayType(TAG),
+    makers=ArrayType(StringType()),
+    **_LINEAGE,
+    snapshot_date=DateType(),
+)
+BRONZE_MANIFEST = _struct(
+    n_offers_received=LongType(),
+    n_missing_key=LongType(),
+    n_duplicate=LongType(),
+    n_lookup_failed=LongType(),
+    n_items_processed=LongType(),
+    n_records=LongType(),
+    **_LINEAGE,
+    snapshot_date=DateType(),
+)
+_ITEM_PRICES = dict(
+    item_id=StringType(),
+    name=StringType(),
+    sale_price=DoubleType(),
+    list_price=DoubleType(),
+)
+_ITEM_RATING = dict(
+    offer_currency=StringType(),
+    discount_pct=DoubleType(),
+    rating_label=StringType(),
+    rating_pct=IntegerType(),
+    store=StringType(),
+    ref_price=DoubleType(),
+    ref_list_price=DoubleType(),
+    ref_currency=StringType(),
+)
+SILVER_ITEMS = _struct(
+    **_ITEM_PRICES, **_ITEM_RATING, ref_discount_pct=DoubleType(), **_DATED
+)
+SILVER_TAGS = _struct(item_id=StringType(), tag_id=IntegerType(), tag_name=StringType(), **_DATED)
+SILVER_MAKERS = _struct(item_id=StringType(), maker_name=StringType(), **_DATED)
+
+_MEASURES = dict(
+    n_items=LongType(),
+    avg_discount=DoubleType(),
+    avg_sale_price=DoubleType(),
+    avg_list_price=DoubleType(),
+    max_discount=DoubleType(),
+    avg_rating=DoubleType(),
+    snapshot_date=DateType(),
+)
+GOLD_TABLES = {
+    "price_history": _struct(
+        **_ITEM_PRICES,
+        ref_price=DoubleType(),
+        ref_currency=StringType(),
+        discount_pct=DoubleType(),
+        snapshot_date=DateType(),
+    ),
+    "offers": _struct(
+        **_ITEM_PRICES,
+        **_ITEM_RATING,
+        savings=DoubleType(),
+        deal_tier=StringType(),
+        snapshot_date=DateType(),
+    ),
+    "rank_makers": _struct(maker_name=StringType(), **_MEASURES),
+    "rank_tags": _struct(tag_id=IntegerType(), tag_name=StringType(), **_MEASURES),
+}
+
 # --- serving tables: fixed types, lengths and keys ----------------------------
 
 MONEY = DecimalType(10, 2)

@@ -6,8 +6,9 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pricetide.sources.tables import PARTITION
 
@@ -82,23 +83,21 @@ def replace_table(df: DataFrame, root: str) -> None:
     df.write.mode("overwrite").parquet(root)
 
 
+# quotes doubled as spreadsheets expect; spaces and tabs around a text are part of it
+CSV_OPTIONS = {
+    "header": True,
+    "encoding": "UTF-8",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """Part files with header, UTF-8, quotes doubled as spreadsheets expect."""
-    (
-        df.write.mode("errorifexists")
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    """Part files with a header; ``path`` must be new."""
+    df.write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
 
 
-def read_csv_export(spark, path: str, schema) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+def read_csv_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
