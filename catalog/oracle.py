@@ -343,20 +343,19 @@ FINAL = {
     "best_offers": f"SELECT {OFFER_REPORT} FROM serving_offers",
     "top_tags": f"""
         SELECT tag_id, tag_name, {RANK_REPORT} FROM rank_tags
-        WHERE snapshot_date = (SELECT max(snapshot_date) FROM rank_tags)
+        WHERE snapshot_date = (SELECT max(snapshot_date) FROM items)
         ORDER BY n_items DESC, tag_name NULLS FIRST, tag_id NULLS FIRST LIMIT 15
     """,
     "top_makers": f"""
         SELECT maker_name, {RANK_REPORT} FROM rank_makers
-        WHERE snapshot_date = (SELECT max(snapshot_date) FROM rank_makers)
+        WHERE snapshot_date = (SELECT max(snapshot_date) FROM items)
         ORDER BY n_items DESC, maker_name LIMIT 20
     """,
     "history_for_name": f"""
         SELECT {HISTORY_REPORT} FROM serving_history WHERE name ILIKE '%RED %g%'
     """,
     "history_for_item": f"""
-        SELECT {HISTORY_REPORT} FROM serving_history
-        WHERE item_id = (SELECT max(item_id) FROM serving_history)
+        SELECT {HISTORY_REPORT} FROM serving_history WHERE item_id = 42
     """,
     "list_names": "SELECT DISTINCT name FROM serving_history",
     "search_regex": f"""

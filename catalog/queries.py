@@ -66,6 +66,16 @@ def items(spark: SparkSession, sf: str, labelled: bool = True) -> DataFrame:
     return silver.silver_items(source(spark, sf), unique_records=True)
 
 
+def item_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots that have items. Dedupe does not change them, so none is done."""
+    found = enrich.lookup_details(
+        enrich.require_key(views.deals(spark, sf)), views.details(spark, sf)
+    )
+    return silver.quality_filter(
+        found.select("snapshot_date", "item_id", F.col("price.currency").alias("ref_currency"))
+    )
+
+
 def history(spark: SparkSession, sf: str) -> DataFrame:
     return gold.price_history(items(spark, sf, labelled=False), unique_items=True)
 
@@ -418,12 +428,12 @@ def best_offers(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def top_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.top_tags(rank_tags(spark, sf), limit=15)
+    return serving.top_tags(rank_tags(spark, sf), limit=15, dates=item_dates(spark, sf))
 
 
 @register
 def top_makers(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.top_makers(rank_makers(spark, sf))
+    return serving.top_makers(rank_makers(spark, sf), dates=item_dates(spark, sf))
 
 
 @register
@@ -433,8 +443,7 @@ def history_for_name(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def history_for_item(spark: SparkSession, sf: str) -> DataFrame:
-    found = serving_history(spark, sf)
-    return plain(serving.history_for_item(found, found.agg(F.max("item_id")).scalar()))
+    return plain(serving.history_for_item(serving_history(spark, sf), 42))
 
 
 @register

@@ -27,10 +27,10 @@ def keep_first(
 
 
 def keep_last(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
 ) -> DataFrame:
     """One row per key: the last in ``order_by``."""
-    return keep_first(df, keys, [F.col(c).desc() for c in order_by])
+    return keep_first(df, keys, [F.desc(c) if isinstance(c, str) else c.desc() for c in order_by])
 
 
 def unique_violations(df: DataFrame, keys: Sequence[str] = ITEM_KEYS) -> DataFrame:

@@ -181,10 +181,15 @@ def latest_snapshot(df: DataFrame, key: str = "snapshot_date") -> DataFrame:
     return df.agg(F.max(key).alias(key))
 
 
-def only_latest(df: DataFrame, key: str = "snapshot_date") -> DataFrame:
+def only_latest(
+    df: DataFrame, key: str = "snapshot_date", dates: DataFrame | None = None
+) -> DataFrame:
     """Rows of the newest snapshot.
 
     The date is a scalar subquery, not a driver-side value: on a partitioned
     table it prunes directories at run time and an empty table stays empty.
+    ``dates`` names a cheaper table to take the newest date from, where ``df``
+    is computed and not stored.
     """
-    return df.filter(F.col(key) == latest_snapshot(df, key).scalar())
+    source = df if dates is None else dates
+    return df.filter(F.col(key) == latest_snapshot(source, key).scalar())

@@ -55,12 +55,14 @@ HISTORY_REPORT = (
 LATEST = "latest"
 
 
-def of_snapshot(df: DataFrame, snapshot: str | None = LATEST) -> DataFrame:
-    """Rows of the latest snapshot, of one given date, or of all (``None``)."""
+def of_snapshot(
+    df: DataFrame, snapshot: str | None = LATEST, dates: DataFrame | None = None
+) -> DataFrame:
+    """Rows of the latest snapshot (of ``dates``, if given), of one date, or all (``None``)."""
     if snapshot is None:
         return df
     if snapshot == LATEST:
-        return only_latest(df)
+        return only_latest(df, dates=dates)
     return df.filter(F.col("snapshot_date") == F.lit(snapshot).cast("date"))
 
 
@@ -74,10 +76,13 @@ def best_offers(offers: DataFrame, snapshot: str | None = LATEST) -> DataFrame:
 
 
 def top_tags(
-    ranking: DataFrame, limit: int | None = None, snapshot: str | None = LATEST
+    ranking: DataFrame,
+    limit: int | None = None,
+    snapshot: str | None = LATEST,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Tag ranking by item count, whole or cut to the first ``limit``."""
-    ordered = of_snapshot(ranking, snapshot).orderBy(
+    ordered = of_snapshot(ranking, snapshot, dates).orderBy(
         F.desc_nulls_first("n_items"), "tag_name", "tag_id", "snapshot_date"
     )
     ordered = ordered if limit is None else ordered.limit(limit)
@@ -85,10 +90,13 @@ def top_tags(
 
 
 def top_makers(
-    ranking: DataFrame, limit: int | None = 20, snapshot: str | None = LATEST
+    ranking: DataFrame,
+    limit: int | None = 20,
+    snapshot: str | None = LATEST,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Maker ranking by item count, cut to the first ``limit``."""
-    ordered = of_snapshot(ranking, snapshot).orderBy(
+    ordered = of_snapshot(ranking, snapshot, dates).orderBy(
         F.desc_nulls_first("n_items"), "maker_name", "snapshot_date"
     )
     ordered = ordered if limit is None else ordered.limit(limit)

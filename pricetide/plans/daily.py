@@ -37,7 +37,7 @@ def run_bronze(
     day = F.lit(snapshot).cast("date")
     deals = landed.read_deals(spark, f"{landing}/deals", lines).withColumn("snapshot_date", day)
     raw = lake.write_bronze(
-        lineage.stamp_lineage(deals, run, "bronze_raw"), f"{root}/bronze/deals", spread=False
+        lineage.stamp_lineage(deals, run, "bronze_raw"), f"{root}/bronze/deals", [snapshot]
     )
 
     # Dimensions are written first: the joins then see plain scans of known size,
@@ -62,10 +62,9 @@ def run_bronze(
     accepted = lake.write_bronze(
         lineage.stamp_lineage(records.drop(*dedupe.ARRIVAL), run, "bronze_enriched"),
         f"{root}/bronze/records",
+        [snapshot],
         fmt="parquet",
     )
-    if not accepted.rows:
-        lake.clear_snapshot(records.drop(*dedupe.ARRIVAL), f"{root}/bronze/records", snapshot)
     audit = enrich.rejection_audit(deals, details, on=dedupe.ITEM_KEYS)
     manifest = lineage.run_manifest(audit, run, "bronze_enriched", rejections=True)
     lake.replace_snapshots(manifest, f"{root}/bronze/manifest", [snapshot])

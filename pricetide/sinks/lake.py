@@ -27,7 +27,7 @@ def replace_snapshots(
     snapshots: Iterable[str | date] = (),
     fmt: str = "parquet",
     key: str = PARTITION,
-    spread: bool = True,
+    spread: bool | None = None,
     **options,
 ) -> Written:
     """Replace whole snapshots of the table at ``root``; other dates stay.
@@ -39,8 +39,13 @@ def replace_snapshots(
 
     ``spread`` sends the rows of one date together before writing: few files per
     date, and a date too large for one task is split by the adaptive rebalance.
-    ``df`` must not read from ``root``.
+    By default that shuffle is left out when exactly one snapshot is named,
+    since then every task has one directory to write to. ``df`` must not read
+    from ``root``.
     """
+    snapshots = [str(d) for d in snapshots]
+    if spread is None:
+        spread = len(snapshots) != 1
     seen = Observation()
     metrics = [F.count("*").alias("rows"), F.collect_set(F.col(key).cast("string")).alias("dates")]
     rows = df.hint("rebalance", F.col(key)) if spread else df
@@ -53,7 +58,7 @@ def replace_snapshots(
         .save(root)
     )
     dates = {d for d in seen.get["dates"]}
-    for emptied in sorted({str(d) for d in snapshots} - dates):
+    for emptied in sorted(set(snapshots) - dates):
         clear_snapshot(df, root, emptied, fmt, key)
     return Written(seen.get["rows"], tuple(date.fromisoformat(d) for d in sorted(dates)))
 
@@ -72,10 +77,12 @@ def replace_snapshot(df: DataFrame, root: str, snapshot: str | date, **options)
     return replace_snapshots(stamped, root, [snapshot], **options)
 
 
-def write_bronze(df: DataFrame, root: str, fmt: str = "json", spread: bool = True) -> Written:
+def write_bronze(
+    df: DataFrame, root: str, snapshots: Iterable[str | date] = (), fmt: str = "json"
+) -> Written:
     """Stamped rows by snapshot. As JSON a null field stays in the document."""
     options = {"ignoreNullFields": False} if fmt == "json" else {}
-    return replace_snapshots(df, root, fmt=fmt, spread=spread, **options)
+    return replace_snapshots(df, root, snapshots, fmt, **options)
 
 
 def replace_table(df: DataFrame, root: str) -> None:
@@ -99,5 +106,12 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
 
 
-def read_csv_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+def read_csv_export(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+) -> DataFrame:
+    """Read an export back; ``multi_line`` if texts hold line breaks.
+
+    CSV has no null: an empty text comes back as null.
+    """
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
+    return reader.option("multiLine", multi_line).csv(path)

@@ -1,0 +1,142 @@
+from datetime import date
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from pricetide import session
+from pricetide.sinks import lake
+from pricetide.sources import tables
+
+D1, D2, D3 = date(2026, 1, 1), date(2026, 1, 2), date(2026, 1, 3)
+SCHEMA = "x int, t string, snapshot_date date"
+
+
+@pytest.fixture
+def base(spark):
+    return spark.createDataFrame([(1, "a", D1), (2, None, D1), (3, "c", D2)], SCHEMA)
+
+
+def test_replace_twice_gives_the_same_table(spark, base, tmp_path):
+    root = f"{tmp_path}/t"
+    for _ in range(2):
+        written = lake.replace_snapshots(base, root)
+        assert (written.rows, written.snapshots) == (3, (D1, D2))
+    assert rows(tables.read_table(spark, root, base.schema)) == rows(base)
+
+
+def test_other_dates_stay_and_named_dates_without_rows_are_emptied(spark, base, tmp_path):
+    root = f"{tmp_path}/t"
+    lake.replace_snapshots(base, root)
+    changed = spark.createDataFrame([(9, "z", D3)], SCHEMA)
+    written = lake.replace_snapshots(changed, root, [D2, D3])
+    assert (written.rows, written.snapshots) == (1, (D3,))
+    assert [r.x for r in tables.read_table(spark, root, base.schema).orderBy("x").collect()] == [
+        1, 2, 9,
+    ]
+
+
+def test_empty_result_empties_its_date(spark, base, tmp_path):
+    root = f"{tmp_path}/t"
+    lake.replace_snapshots(base, root)
+    written = lake.replace_snapshot(base.filter("x > 99"), root, D1)
+    assert (written.rows, written.snapshots) == (0, ())
+    assert [r.x for r in tables.read_table(spark, root, base.schema).collect()] == [3]
+    lake.replace_snapshot(base.limit(0), f"{tmp_path}/new", D1)
+    assert tables.read_table(spark, f"{tmp_path}/new", base.schema).count() == 0
+
+
+def test_one_date_form_stamps_the_date(spark, base, tmp_path):
+    root = f"{tmp_path}/t"
+    lake.replace_snapshot(base, root, "2026-01-03")
+    assert {r.snapshot_date for r in tables.read_table(spark, root).collect()} == {D3}
+
+
+def test_date_key_is_typed_and_not_in_the_files(spark, base, tmp_path):
+    root = f"{tmp_path}/t"
+    lake.replace_snapshots(base, root)
+    read = tables.read_table(spark, root)
+    assert dict(read.dtypes)["snapshot_date"] == "date"
+    leaf = spark.read.parquet(f"{root}/snapshot_date=2026-01-01")
+    assert leaf.columns == ["x", "t"]
+
+
+def test_snapshot_read_prunes_partitions(spark, base, tmp_path, capsys):
+    root = f"{tmp_path}/t"
+    lake.replace_snapshots(base, root)
+    one = tables.read_snapshot(spark, root, "2026-01-02", base.schema)
+    assert [r.x for r in one.collect()] == [3]
+    two = tables.read_snapshot(spark, root, ["2026-01-01", "2026-01-02"], base.schema)
+    assert two.count() == 3
+    one.explain("formatted")
+    shown = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(snapshot_date" in shown
+
+
+def test_bronze_json_keeps_null_fields(spark, base, tmp_path):
+    root = f"{tmp_path}/b"
+    lake.write_bronze(base, root)
+    text = "\n".join(r.value for r in spark.read.text(f"{root}/*").collect())
+    assert '"t":null' in text
+    assert rows(tables.read_table(spark, root, base.schema, "json")) == rows(base)
+
+
+def test_csv_roundtrip(spark, tmp_path):
+    data = spark.createDataFrame(
+        [(1, ' "quoted", with comma ', "ação"), (2, "", None), (3, "two\nlines", "\tt")],
+        "x int, a string, b string",
+    )
+    lake.export_csv(data, f"{tmp_path}/c")
+    first = spark.read.text(f"{tmp_path}/c").first().value
+    assert first == "x,a,b"
+    back = lake.read_csv_export(spark, f"{tmp_path}/c", data.schema, multi_line=True)
+    assert rows(back) == rows(data.replace("", None))
+    with pytest.raises(Exception, match="(?i)exists"):
+        lake.export_csv(data, f"{tmp_path}/c")
+
+
+class FakeSession:
+    """A session whose settings the test chooses; the real one is fixed at start."""
+
+    def __init__(self, master, named=None):
+        self.conf, self.sparkContext = self, self
+        self.master, self.named, self.chosen = master, named, None
+
+    def get(self, name, default):
+        return self.named if name == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return self.chosen
+
+    def setCheckpointDir(self, folder):
+        self.chosen = folder
+
+
+def test_shared_folder_comes_from_the_session():
+    cluster = FakeSession("yarn", "hdfs://shared/")
+    assert session.shared_folder(cluster) == "hdfs://shared"
+    one, two = session.fresh_path(cluster, "a"), session.fresh_path(cluster, "a")
+    assert one != two and one.startswith("hdfs://shared/a-")
+    assert cluster.chosen is None
+
+
+def test_only_a_local_master_falls_back_to_a_temporary_folder():
+    with pytest.raises(ValueError):
+        session.shared_folder(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    assert session.shared_folder(local) == session.shared_folder(local) == local.chosen
+
+
+def test_large_date_is_split_over_files(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    hot = spark.range(0, 60_000, numPartitions=8).select(
+        F.xxhash64("id").alias("x"),
+        F.when(F.col("id") % 3 == 0, F.lit(D1)).otherwise(
+            F.date_add(F.lit(D1), (F.col("id") % 50).cast("int"))
+        ).alias("snapshot_date"),
+    )
+    root = f"{tmp_path}/t"
+    assert lake.replace_snapshots(hot, root).rows == 60_000
+    hot = spark.read.parquet(f"{root}/snapshot_date=2026-01-01").inputFiles()
+    cold = spark.read.parquet(f"{root}/snapshot_date=2026-01-03").inputFiles()
+    assert len(hot) > 2 and len(cold) <= 2
