@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType, StructField, StructType, VarcharType
+from pyspark.sql.types import (
+    DecimalType,
+    DoubleType,
+    FloatType,
+    StructField,
+    StructType,
+    VarcharType,
+)
 
 from pricetide.functions.numeric import exact
 
@@ -50,3 +57,11 @@ def misfits(df: DataFrame, schema: StructType) -> DataFrame:
             )
         )
     return df.agg(F.array(*counters).alias("columns")).select(F.inline("columns"))
+
+
+def require_fit(df: DataFrame, schema: StructType) -> DataFrame:
+    """``conform(df, schema)``; raises if a value would be lost or a text is too long."""
+    found = misfits(df, schema).filter("n_lost + n_too_long > 0").collect()
+    if found:
+        raise ValueError(f"does not fit: {[row.asDict() for row in found]}")
+    return conform(df, schema)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ITEM_KEYS = ("item_id", "snapshot_date")
+ITEM_KEYS = ("snapshot_date", "item_id")
 ARRIVAL = ("ord1", "ord2")
 
 
@@ -36,3 +36,11 @@ def keep_last(
 def unique_violations(df: DataFrame, keys: Sequence[str] = ITEM_KEYS) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > 1)
+
+
+def require_unique(df: DataFrame, keys: Sequence[str] = ITEM_KEYS) -> DataFrame:
+    """``df`` itself; raises if a key repeats, naming a few of them."""
+    found = unique_violations(df, keys).take(5)
+    if found:
+        raise ValueError(f"keys {list(keys)} repeat: {found}")
+    return df

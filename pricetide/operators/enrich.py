@@ -74,8 +74,13 @@ def store_dimension(stores: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
 
 def default_stores(spark: SparkSession) -> DataFrame:
-    """The fixed dimension for runs where the store list could not be fetched."""
-    return spark.createDataFrame(DEFAULT_STORES, "store_id string, store_name string")
+    """The fixed dimension for runs where the store list could not be fetched.
+
+    As inline values its size is known when the join is planned, so it is
+    broadcast and the deals are not shuffled.
+    """
+    pairs = ", ".join(f"('{store_id}', '{name}')" for store_id, name in DEFAULT_STORES)
+    return spark.sql(f"SELECT * FROM VALUES {pairs} AS t(store_id, store_name)")
 
 
 def label_stores(

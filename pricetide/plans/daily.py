@@ -27,12 +27,13 @@ def run_bronze(
     run: lineage.Run,
     stores: bool = True,
     lines: bool = False,
+    detail_lines: bool = True,
 ) -> dict[str, int]:
     """Landed deals, stores and details of one snapshot to raw deals and records.
 
     ``stores=False`` is for a run whose store list could not be fetched: the
     fixed dimension takes its place. ``lines`` says deals and stores are JSON
-    lines; details are one map per line.
+    lines, ``detail_lines`` that details are one map per line, not per file.
     """
     day = F.lit(snapshot).cast("date")
     deals = landed.read_deals(spark, f"{landing}/deals", lines).withColumn("snapshot_date", day)
@@ -53,7 +54,9 @@ def run_bronze(
     else:
         labels = enrich.default_stores(spark)
     details = dedupe.keep_last(
-        landed.read_details(spark, f"{landing}/details").withColumn("snapshot_date", day),
+        landed.read_details(spark, f"{landing}/details", detail_lines).withColumn(
+            "snapshot_date", day
+        ),
         dedupe.ITEM_KEYS,
         ["ord1", F.xxhash64("name", "price")],
     )
@@ -71,6 +74,16 @@ def run_bronze(
     return {"deals": raw.rows, "records": accepted.rows}
 
 
+def import_envelopes(
+    spark: SparkSession, path: str, root: str, run: lineage.Run, multi_line: bool = True
+) -> lake.Written:
+    """Take over existing enriched documents: each date they name is replaced."""
+    found = landed.envelope_records(landed.read_envelopes(spark, path, multi_line))
+    records = enrich.first_deals(found).drop(*dedupe.ARRIVAL)
+    stamped = lineage.stamp_lineage(records, run, "bronze_enriched")
+    return lake.write_bronze(stamped, f"{root}/bronze/records", fmt="parquet")
+
+
 def run_silver(
     spark: SparkSession, root: str, snapshots: Sequence[str], processed_at: str
 ) -> dict[str, int]:
@@ -120,7 +133,9 @@ def run_load(
 ) -> dict[str, list[str]]:
     """Load the given snapshots of the Gold tables, by default each table's latest.
 
-    ``names`` maps a Gold table to its name at the target.
+    ``names`` maps a Gold table to its name at the target. A value that does not
+    fit its serving column, or a repeated key, stops the load before the target
+    is touched.
     """
     loaded = {}
     for name, serving in schemas.SERVING_TABLES.items():
@@ -133,28 +148,33 @@ def run_load(
             wanted = tables.read_snapshot(
                 spark, f"{root}/gold/{name}", dates, schemas.GOLD_TABLES[name]
             )
-            fitted = conform.conform(conform.align_types(wanted), serving)
+            fitted = conform.require_fit(wanted, serving)
+            if name in schemas.UNIQUE_KEYS:
+                dedupe.require_unique(fitted, schemas.UNIQUE_KEYS[name])
             jdbc.load_snapshots(fitted, target, (names or {}).get(name, name), dates)
         loaded[name] = list(dates)
     return loaded
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
-    """``bronze``, ``silver`` and ``gold`` from the command line, for spark-submit."""
+    """The steps from the command line, for spark-submit."""
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("step", choices=["bronze", "silver", "gold"])
+    parser.add_argument("step", choices=["bronze", "silver", "gold", "load"])
     parser.add_argument("--root", required=True)
     parser.add_argument("--snapshot", required=True, action="append")
+    parser.add_argument("--at", required=True, help="time of the run, yyyy-MM-dd HH:mm:ss")
     parser.add_argument("--landing")
     parser.add_argument("--run-id", default="")
-    parser.add_argument("--at", required=True, help="time of the run, yyyy-MM-dd HH:mm:ss")
     parser.add_argument("--default-stores", action="store_true")
     parser.add_argument("--lines", action="store_true")
+    parser.add_argument("--url")
+    parser.add_argument("--driver", default=jdbc.Target.driver)
+    parser.add_argument("--property", action="append", default=[], help="name=value for JDBC")
     given = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"pricetide-{given.step}").getOrCreate()
     if given.step == "bronze":
         run = lineage.Run(given.run_id, given.at, sources=("deals", "details"))
-        rows = {
+        done = {
             day: run_bronze(
                 spark,
                 given.landing,
@@ -167,10 +187,14 @@ def main(arguments: Sequence[str] | None = None) -> None:
             for day in given.snapshot
         }
     elif given.step == "silver":
-        rows = run_silver(spark, given.root, given.snapshot, given.at)
+        done = run_silver(spark, given.root, given.snapshot, given.at)
+    elif given.step == "gold":
+        done = run_gold(spark, given.root, given.snapshot)
     else:
-        rows = run_gold(spark, given.root, given.snapshot)
-    print(json.dumps(rows))
+        properties = dict(pair.split("=", 1) for pair in given.property)
+        target = jdbc.Target(given.url, given.driver, properties)
+        done = run_load(spark, given.root, target, given.snapshot)
+    print(json.dumps(done))
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from pricetide.operators.lineage import Run
 from pricetide.plans import daily
 from pricetide.sinks import jdbc
 from pricetide.sources import tables
-from test_sources import write
+from test_sources import envelope, write
 
 
 def landing(path, deals, details, stores):
@@ -128,6 +128,33 @@ def test_load_takes_the_latest_snapshot_only(spark, lake_root, monkeypatch):
     assert {d for *_, dates in loads[4:] for d in dates} == {"2026-01-01"}
 
 
+def test_load_stops_before_the_target_if_a_value_does_not_fit(spark, tmp_path, monkeypatch):
+    long_name = a_detail("7", "x" * 300)
+    where = landing(tmp_path / "in", [a_deal("7")], [long_name], STORES)
+    run_all(spark, where, f"{tmp_path}/lake", "2026-01-01")
+    monkeypatch.setattr(jdbc, "load_snapshots", lambda *a: pytest.fail("target was touched"))
+    with pytest.raises(ValueError, match="n_too_long"):
+        daily.run_load(spark, f"{tmp_path}/lake", jdbc.Target("jdbc:none"))
+
+
+def test_existing_documents_are_taken_over(spark, tmp_path):
+    record = {"steam_app_id": "7", "nome": "Doom", "preco_oferta": "5.0", "desconto": "80",
+              "preco_steam": {"currency": "USD", "initial": 2500, "final": 1000},
+              "desenvolvedores": ["id"]}
+    for day in ("2026-01-01", "2026-01-02"):
+        document = envelope(record, {**record, "nome": "later"}, {**record, "steam_app_id": ""})
+        document["metadata"]["data_ingestao"] = day
+        write(tmp_path / f"in/{day}.json", json.dumps(document, indent=4))
+    root = f"{tmp_path}/lake"
+    written = daily.import_envelopes(spark, f"{tmp_path}/in", root, Run("r", AT))
+    assert written.rows == 2 and len(written.snapshots) == 2
+    days = ["2026-01-01", "2026-01-02"]
+    assert daily.run_silver(spark, root, days, AT) == {"items": 2, "tags": 0, "makers": 2}
+    assert daily.run_gold(spark, root, days)["rank_makers"] == 2
+    offers = tables.read_table(spark, f"{root}/gold/offers", schemas.GOLD_TABLES["offers"])
+    assert rows(offers.select("name", "savings")) == [("Doom", 5.0), ("Doom", 5.0)]
+
+
 def test_command_line(spark, lake_root, capsys, monkeypatch):
     _, root, _ = lake_root
     daily.main(["gold", "--root", root, "--snapshot", "2026-01-01", "--at", AT])

@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -104,3 +105,6 @@ def test_unique_violations(spark):
     twice = deal(spark, ("7", "a"), ("7", "b"), ("8", "c"))
     found = dedupe.unique_violations(twice).select("item_id", "n_rows")
     assert rows(found) == [("7", 2)]
+    with pytest.raises(ValueError, match="repeat"):
+        dedupe.require_unique(twice)
+    assert dedupe.require_unique(twice.filter("ord1 > 0")).count() == 2

@@ -85,6 +85,11 @@ def test_latest_snapshot_prunes_partitions_at_run_time(spark, tmp_path, capsys):
     assert "ReadSchema: struct<>" in shown
 
 
+def test_default_stores_are_broadcast(spark):
+    text = plan(enrich.label_stores(views.deals(spark, SF), enrich.default_stores(spark)))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
 def test_dedupe_and_lookup_per_snapshot_share_one_exchange(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     day = F.lit("1998-06-01").cast("date")
