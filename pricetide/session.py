@@ -19,6 +19,8 @@ def local_session(cores: int | str = 8, memory: str = "16g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # call sites are looked up for every column otherwise: most of the time to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
