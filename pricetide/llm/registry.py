@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricetide.llm import lookup_shards, suffix_automaton
+from pricetide.llm import lookup_shards, mixing, suffix_automaton, token_frames
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def op2_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_frames.round_trip(table(spark, sf_dir, "documents"), byte_vocabulary(), end_id=2)
+
+
 @register
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
@@ -37,5 +48,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "times")
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_sharding": lookup_shards.oracle_sql(SHARDS, SLOTS)}
