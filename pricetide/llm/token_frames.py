@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pricetide.llm.store import fresh_path, open_folder, stored
 
 FRAME_BYTES = 1 << 18
-CACHED_UNITS = 400_000
+CACHED_UNITS = 350_000
 _SKIP_INDEX, _SKIP_SEEK, _SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _INDEX = struct.Struct("<4sBxxxQ")
 _ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
@@ -64,33 +64,46 @@ class Encoder:
         self.dtype = np.dtype("<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = self._pack([end_id])
-        self.units: dict[str, bytes] = {}
+        # Words by what follows their space: those met lately, and those met before that.
+        self.lately: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         if self.tokenizer.normalizer is not None:
             raise ValueError("texts can be cut only where the tokenizer does not rewrite them")
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
+    def _encode(self, units: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
+        return [self._pack(e.ids) for e in found]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut: list[list[str]] = []
+        heads: list[str] = []
+        tails: list[list[str]] = []
         for text in texts:
-            if not text:
-                cut.append([])
-            elif any(s in text for s in self.special):
-                cut.append([text])
+            text = text or ""
+            if any(s in text for s in self.special):
+                head, rest = text, []
             elif _SPACE_RUN.search(text):
-                cut.append(_BETWEEN.split(text))
+                head, *rest = _BETWEEN.split(text)
+                rest = [u[1:] for u in rest]
             else:
-                first, *rest = text.split(" ")
-                # texts that begin with a space have an empty first unit
-                cut.append(([first] if first else []) + [" " + u for u in rest])
-        if len(self.units) > CACHED_UNITS:
-            self.units.clear()
-        new = list({u for units in cut for u in units if u not in self.units})
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.units.update((u, self._pack(e.ids)) for u, e in zip(new, found, strict=True))
-        get = self.units.__getitem__
-        return [b"".join(map(get, units)) + self.end for units in cut]
+                head, *rest = text.split(" ")
+            heads.append(head)
+            tails.append(rest)
+        if len(self.lately) > CACHED_UNITS:
+            self.before, self.lately = self.lately, {}
+        wanted: set[str] = set()
+        for rest in tails:
+            wanted.update(rest)
+        wanted.difference_update(self.lately)
+        known = {u: self.before[u] for u in wanted if u in self.before}
+        self.lately |= known
+        new = list(wanted.difference(known))
+        self.lately.update(zip(new, self._encode([" " + u for u in new]), strict=True))
+        get, end = self.lately.__getitem__, self.end
+        first = self._encode(heads)
+        return [h + b"".join(map(get, rest)) + end for h, rest in zip(first, tails, strict=True)]
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
@@ -211,8 +224,8 @@ def write(
 
         def rows():
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    piece = batch.slice(at, 500)
+                for at in range(0, batch.num_rows, 1000):
+                    piece = batch.slice(at, 1000)
                     yield from zip(
                         piece.column(0).to_pylist(), code.encode(piece.column(1).to_pylist()), strict=True
                     )
