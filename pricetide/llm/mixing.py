@@ -25,7 +25,7 @@ from pricetide.llm.store import stored
 #: What is left for the knapsack table: this many words, or a little more.
 EXACT_WORDS = 4_096
 #: Documents that are ranked together, about.
-RANKED = 500
+RANKED = 128
 
 
 def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
