@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricetide.llm import lookup_shards, mixing, suffix_automaton, token_frames
+from pricetide.llm import lookup_shards, mixing, suffix_automaton, token_frames, warc, weak_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +40,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_shards.place(docs, [str(i) for i in range(SHARDS)], SLOTS)
 
 
+@register
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @register
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +53,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return weak_labels.classify(docs, weak_labels.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"))
