@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricetide.llm import lookup_shards, mixing, suffix_automaton, token_frames, warc, weak_labels
+from pricetide.llm import (
+    lookup_shards,
+    lsh_forest,
+    mixing,
+    suffix_automaton,
+    token_frames,
+    warc,
+    weak_labels,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def byte_vocabulary() -> str:
     import public_tokenizers
 
