@@ -15,6 +15,7 @@ from pricetide.llm import (
     warc,
     weak_labels,
 )
+from pricetide.llm.store import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,7 @@ def register(query: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
