@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pricetide.llm import (
+    edit_counts,
     lookup_shards,
     lsh_forest,
     mixing,
+    stable_hash,
     suffix_automaton,
     token_frames,
     warc,
@@ -60,6 +62,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@register
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable_hash.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,6 +81,12 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_labels.classify(docs, weak_labels.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@register
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return edit_counts.counts_after_redaction(docs, byte_vocabulary())
+
+
 @register
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"))
