@@ -12,6 +12,7 @@ white space and the longest contraction), which is the boundary context.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -256,10 +257,11 @@ def redaction_edits(text: str | None) -> list[Edit]:
             done = m.end()
             found.append((a, done, "[mail]"))
         at = text.find("@", max(done, at + 1))
-    mails = list(found)
+    mails = [e[:2] for e in found]
     for m in _NUMBER.finditer(text or ""):
         a, b = m.span()
-        if not any(x < b and a < y for x, y, _ in mails):
+        k = bisect_left(mails, (b, b))  # mails do not overlap: the last before b decides
+        if not k or mails[k - 1][1] <= a:
             found.append((a, b, "[address]" if m[1] else "[number]"))
     return sorted(found)
 
