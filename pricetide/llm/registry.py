@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pricetide.llm import (
+    column_bwt,
     edit_counts,
     lookup_shards,
     lsh_forest,
@@ -62,6 +63,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@register
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_bwt.without_repeats(table(spark, sf_dir, "documents"))
+
+
 @register
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable_hash.near_duplicates(table(spark, sf_dir, "embeddings"))
