@@ -267,29 +267,34 @@ def _large_groups(fragments: DataFrame, length: int, gram: int) -> DataFrame:
                     mine = hashes[a + left : b + left + 1]
                     inner = mix(np.uint64(key & (2**64 - 1)) + core + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15))
                     whole = mix(mine * np.arange(1, 2 * len(mine), 2, dtype=np.uint64)).sum()
-                    rows.append((int(inner.view(np.int64)[0]), int(whole.view(np.int64)), row, pos + a, mine.view(np.int64)))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                    rows.append((int(inner.view(np.int64)[0]), int(whole.view(np.int64)), row, pos, a, mine.view(np.int64)))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["core", "whole", "row", "start", "windows"],
+                ["core", "whole", "row", "pos", "first", "windows"],
             )
 
-    schema = "core long, whole long, row long, start long, windows array<long>"
+    # Places are counted from the gram, so one window of one text never meets itself
+    # where the text has the gram twice.
+    schema = "core long, whole long, row long, pos long, first long, windows array<long>"
     ranges = stored(fragments.where("large").mapInArrow(run, schema), "ranges")
-    one = F.min(F.struct("row", "start")).alias("one")
-    whole = ranges.groupBy("core", "whole").agg(F.count("*").alias("n"), one)
-    equal = ranges.join(whole.where("n > 1").select("core", "whole"), ["core", "whole"], "left_semi")
-    end = F.col("start") + F.size("windows") - 1 + length
-    sure = equal.select("row", "start", end.alias("end"))
+    one = F.min(F.struct("row", "pos")).alias("one")
+    key = ["core", "first", "whole"]
+    whole = ranges.groupBy(*key).agg(F.count("*").alias("n"), one)
+    equal = ranges.join(whole.where("n > 1").select(*key), key, "left_semi")
+    begin = F.col("pos") + F.col("first")
+    sure = equal.select("row", begin.alias("start"), (begin + F.size("windows") - 1 + length).alias("end"))
     different = whole.groupBy("core").agg(F.count("*").alias("k")).where("k > 1").select("core")
-    single = whole.join(different, "core", "left_semi").select("core", "whole", "one.row", "one.start")
-    left = ranges.join(single, ["core", "whole", "row", "start"], "left_semi")
-    windows = left.select("row", "start", F.posexplode("windows").alias("k", "window"))
-    windows = windows.select("row", (F.col("start") + F.col("k")).alias("start"), "window")
-    repeated = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    hits = windows.join(repeated, "window", "left_semi")
-    return sure.unionByName(hits.select("row", "start", (F.col("start") + length).alias("end")))
+    single = whole.join(different, "core", "left_semi").select(*key, "one.row", "one.pos")
+    left = ranges.join(single, [*key, "row", "pos"], "left_semi")
+    windows = left.select("core", "row", "pos", "first", F.posexplode("windows").alias("k", "window"))
+    windows = windows.select("core", "row", "pos", (F.col("first") + F.col("k")).alias("at"), "window")
+    place = ["core", "at", "window"]
+    repeated = windows.groupBy(*place).agg(F.count("*").alias("n")).where("n > 1").select(*place)
+    start = F.col("pos") + F.col("at")
+    hits = windows.join(repeated, place, "left_semi")
+    return sure.unionByName(hits.select("row", start.alias("start"), (start + length).alias("end")))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
