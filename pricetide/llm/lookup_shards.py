@@ -77,9 +77,10 @@ def place(
     kept = [c for c in df.columns if c not in (slot_column, shard_column)]
     cells = table_frame(df.sparkSession, fill_table(shards, slots, seed))
     cells = cells.select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
-    keyed = df.withColumn("__at", slot_of(F.col(key), slots))
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__row")
+    keyed = df.select(row, slot_of(F.col(key), slots).alias("__at"))
     return keyed.join(F.broadcast(cells), F.col("__at") == F.col("__slot")).select(
-        *[F.col(f"`{c}`") for c in kept],
+        "__row.*",
         F.col("__at").alias(slot_column),
         F.col("__shard").alias(shard_column),
     )

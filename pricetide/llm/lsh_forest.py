@@ -365,10 +365,17 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 75) -> D
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, percent: int = 75) -> DataFrame:
-    """One document of each group, with the columns they had; repeated rows of one id count once."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    joined = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    """One document of each group, with the columns they had; repeated rows of one id count once.
+
+    Rows without an id go by a hash of their text, above all ids: they stay only in
+    groups where no row has an id.
+    """
+    hashed = F.xxhash64("text").bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    name = F.coalesce(F.col("doc_id").cast("long"), hashed)
+    found = near_duplicates(docs.select(name.alias("doc_id"), "text"), width, percent)
+    kept = found.where("kept").select(F.col("doc_id").alias("__kept")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = Window.partitionBy(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))).orderBy(F.xxhash64(row))
-    numbered = joined.withColumn("__copy", F.row_number().over(one)).where("__copy = 1")
-    return numbered.drop("__copy")
+    packed = docs.select(name.alias("__id"), F.xxhash64(row).alias("__hash"), row.alias("__row"))
+    joined = packed.join(kept, F.col("__id") == F.col("__kept"), "left_semi")
+    one = Window.partitionBy("__id").orderBy("__hash")
+    return joined.withColumn("__copy", F.row_number().over(one)).where("__copy = 1").select("__row.*")

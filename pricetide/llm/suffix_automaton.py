@@ -163,25 +163,25 @@ _SPARK_FOUND = "struct<spans: array<bigint>, items: array<string>>"
 MARKS = "__marks"
 
 
-def _marker(items, names, key: str, window: int, text: str) -> Callable:
+def _marker(items, names, key: str, window: int, text: str, marks: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _automaton(key, items.value, window)
         for batch in batches:
             texts = batch.column(text).cast(pa.binary()).to_pylist()
-            before = batch.column(MARKS).to_pylist()
-            marks = []
+            before = batch.column(marks).to_pylist()
+            made = []
             for words, old in zip(map(words_of, texts), before, strict=True):
                 hits, which = machine.scan(words)
                 if old:
                     hits += zip(old["spans"][::2], old["spans"][1::2], strict=True)
-                marks.append(
+                made.append(
                     {
                         "spans": list(chain.from_iterable(joined(hits))),
                         "items": [names.value[k] for k in which] + (old["items"] if old else []),
                     }
                 )
-            at = batch.schema.get_field_index(MARKS)
-            yield batch.set_column(at, pa.field(MARKS, _FOUND), pa.array(marks, _FOUND))
+            at = batch.schema.get_field_index(marks)
+            yield batch.set_column(at, pa.field(marks, _FOUND), pa.array(made, _FOUND))
 
     return run
 
@@ -192,6 +192,7 @@ def mark(
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
     text: str = "text",
+    marks: str = MARKS,
 ) -> DataFrame:
     """Add ``__marks``: hit stretches in words (start, end, start, ...) and the ids of the items.
 
@@ -208,12 +209,12 @@ def mark(
     total = items.agg(F.sum("size")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    marked = docs.withColumn(MARKS, F.lit(None).cast(_SPARK_FOUND))
+    marked = docs.withColumn(marks, F.lit(None).cast(_SPARK_FOUND))
     for k in range(blocks):
         rows = items.where(block == k).select("item_id", "text").collect()
         sent = spark.sparkContext.broadcast([words_of(bytes(r.text)) for r in rows])
         names = spark.sparkContext.broadcast([r.item_id for r in rows])
-        run = _marker(sent, names, os.urandom(8).hex(), window, text)
+        run = _marker(sent, names, os.urandom(8).hex(), window, text, marks)
         marked = marked.mapInArrow(run, marked.schema)
         if k + 1 < blocks:
             marked = stored(marked, "marks")
@@ -296,14 +297,17 @@ def remove(
     By default contaminated documents go and all others stay as they are. With
     ``spans_only`` every document stays and loses its hit stretches instead.
     """
-    marked = mark(docs, benchmark, window, block_words, text)
+    name = MARKS
+    while name in docs.columns:
+        name += "_"
+    marked = mark(docs, benchmark, window, block_words, text, name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(text)
-            texts, marks = raw.cast(pa.binary()).to_pylist(), batch.column(MARKS).to_pylist()
+            texts, marks = raw.cast(pa.binary()).to_pylist(), batch.column(name).to_pylist()
             at = batch.schema.get_field_index(text)
-            names = [n for n in batch.schema.names if n != MARKS]
+            names = [n for n in batch.schema.names if n != name]
             if spans_only:
                 new = [cut(t, m["spans"]) if m["spans"] else t for t, m in zip(texts, marks, strict=True)]
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(new, pa.binary()).cast(raw.type))
