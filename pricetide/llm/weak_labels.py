@@ -98,17 +98,19 @@ def estimate(votes: np.ndarray, two_sided: np.ndarray, rounds: int = 60) -> tupl
     """
     n, m = votes.shape
     asked, fired, denied = (votes >= 0) | ~two_sided, votes == 1, votes == 0
-    hit, false = np.full(m, 0.7), np.full(m, 0.05)
+    hit, false = np.where(two_sided, 0.99, 0.7), np.where(two_sided, 0.01, 0.05)
     # Silence says nothing, so the rounds cannot tell the share of yes: it is that of the two-sided votes.
     share = (fired[:, two_sided].sum() + 1.0) / ((votes[:, two_sided] >= 0).sum() + 10.0)
+    # Two-sided votes are trusted as if as many rows again had shown them right.
+    prior, mean = np.where(two_sided, n + 5, 5), np.where(two_sided, 0.995, 0.7)
     posterior = np.full(n, share)
     for _ in range(rounds):
         gain = fired * np.log(hit / false) + denied * np.log((1 - hit) / (1 - false))
         odds = np.log(share / (1 - share)) + gain.sum(1)
         posterior = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
         p = posterior[:, None]
-        hit = ((p * fired).sum(0) + np.where(two_sided, 9.99, 3.5)) / ((p * asked).sum(0) + np.where(two_sided, 10, 5))
-        false = (((1 - p) * fired).sum(0) + 0.05) / (((1 - p) * asked).sum(0) + 5)
+        hit = ((p * fired).sum(0) + prior * mean) / ((p * asked).sum(0) + prior)
+        false = (((1 - p) * fired).sum(0) + 0.01 * prior) / (((1 - p) * asked).sum(0) + prior)
         hit, false = np.clip(hit, 1e-3, 1 - 1e-6), np.clip(false, np.where(two_sided, 1e-6, 0.01), 0.5)
     return posterior, hit, false
 
@@ -143,7 +145,7 @@ def telling(rows: np.ndarray, keys: np.ndarray, posterior: np.ndarray) -> np.nda
 
 
 def train(
-    rows: np.ndarray, columns: np.ndarray, n: int, width: int, target: np.ndarray, penalty: float = 0.3
+    rows: np.ndarray, columns: np.ndarray, n: int, width: int, target: np.ndarray, penalty: float = 0.05
 ) -> tuple[np.ndarray, float]:
     """Logistic regression on present features with an L1 penalty, by accelerated proximal gradient."""
     weights, bias, look, look_b, pace = np.zeros(width), 0.0, np.zeros(width), 0.0, 1.0
