@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from pricetide.llm.words import LOWER, OTHER, SPACE, mix, prefix_sums, span_hashes, spans, word_hashes
 
-SAMPLE = 16_000
+SAMPLE = 10_000
 #: Insults that the word-list labeller looks for.
 INSULTS = (
     "clown",
@@ -133,15 +133,15 @@ class Scorer:
         return 1 / (1 + np.exp(-(self.bias + self.weights[at].sum(0))))
 
 
-def telling(rows: np.ndarray, keys: np.ndarray, posterior: np.ndarray) -> np.ndarray:
-    """Keys that say yes more often than chance among so many keys explains."""
-    found, at, count = np.unique(keys, return_inverse=True, return_counts=True)
-    yes = np.bincount(at, posterior[rows], len(found))
+def telling(rows: np.ndarray, columns: np.ndarray, width: int, posterior: np.ndarray) -> np.ndarray:
+    """Which features say yes more often than chance among so many of them explains."""
+    count = np.bincount(columns, minlength=width)
+    yes = np.bincount(columns, posterior[rows], width)
     rate = float(np.clip(posterior.mean(), 1e-4, 0.5))
-    far = (yes - count * rate) / np.sqrt(count * rate * (1 - rate))
+    far = (yes - count * rate) / np.sqrt(np.maximum(count, 1) * rate * (1 - rate))
     rivals = np.bincount(count)[count]
-    always = (yes > 0.97 * count) & (np.exp(np.log(rate) * count) * rivals < 0.02)
-    return found[((far > 6) & (yes > 0.9 * count) & (count >= 4)) | always]
+    always = (count > 1) & (yes > 0.97 * count) & (np.exp(np.log(rate) * count) * rivals < 0.02)
+    return ((far > 6) & (yes > 0.9 * count) & (count >= 4)) | always
 
 
 def train(
@@ -214,14 +214,15 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, seed: i
             )
 
     got = picked.mapInArrow(run, "doc_id long, votes array<long>, features binary").collect()
-    got.sort(key=lambda r: (r.doc_id, r.features))
-    found = [np.frombuffer(r.features, np.uint64) for r in got]
+    rows = sorted((r.doc_id, bytes(r.features), r.votes) for r in got)
+    del got
+    found = [np.frombuffer(f, np.uint64) for _, f, _ in rows]
     # Copies count once, else the words of one text that has many look telling.
     kept = one_of_each(found)
     return learn(
         [found[i] for i in kept],
-        [got[i].votes for i in kept],
-        [known.get(got[i].doc_id, [-1, -1]) for i in kept],
+        [rows[i][2] for i in kept],
+        [known.get(rows[i][0], [-1, -1]) for i in kept],
     )
 
 
@@ -232,36 +233,43 @@ def learn(found: list[np.ndarray], junk: list[list[int]], known: list[list[int]]
     n = len(found)
     if not n:
         return Scorer(insults, np.tile([6.0, 0.0], (len(insults), 1)), np.array([-4.0, -4.0]))
-    rows = np.repeat(np.arange(n), [len(f) for f in found])
-    keys = np.concatenate(found)
+    # Features that one document alone has cannot be told from chance: they go first.
+    every, times = np.unique(np.concatenate(found), return_counts=True)
+    vocabulary = np.unique(np.concatenate((every[times > 1], insults, bins)))
+    del every, times
+    own = [f[np.isin(f, vocabulary, assume_unique=True)] for f in found]
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in own])
+    columns = np.searchsorted(vocabulary, np.concatenate(own)).astype(np.int32)
+    width = len(vocabulary)
+    is_insult, is_bin = np.isin(vocabulary, insults), np.isin(vocabulary, bins)
     label = np.array(known)
-    listed = np.bincount(rows[np.isin(keys, insults)], minlength=n)
+    listed = np.bincount(rows[is_insult[columns]], minlength=n)
     # Words that go with the labels make two more labellers, each from one half of the labelled rows.
     learned: list[np.ndarray] = []
     for half in (0, 1):
-        use = np.flatnonzero((label[:, 0] >= 0) & (np.arange(n) % 2 == half))
-        words = np.zeros(0, np.uint64)
+        use = (label[:, 0] >= 0) & (np.arange(n) % 2 == half)
+        words = np.zeros(width, bool)
         if label[use, 0].sum(initial=0) > 0:
-            own = np.isin(rows, use) & ~np.isin(keys, bins)
-            words = telling(rows[own], keys[own], np.maximum(label[:, 0], 0) * 1.0)
-        learned.append(np.bincount(rows[np.isin(keys, words)], minlength=n) > 0)
+            mine = use[rows] & ~is_bin[columns]
+            words = telling(rows[mine], columns[mine], width, np.maximum(label[:, 0], 0) * 1.0)
+        learned.append(np.bincount(rows[words[columns]], minlength=n) > 0)
     heuristics = (np.column_stack((listed > 0, listed > 1, *learned)), np.array(junk) > 0)
-    parts = []
-    for fires, own in zip(heuristics, label.T, strict=True):
-        votes = np.column_stack((np.where(fires, 1, -1), own))
-        posterior, _, _ = estimate(votes, np.arange(votes.shape[1]) >= fires.shape[1])
-        parts.append((posterior, telling(rows, keys, posterior)))
-    chosen = np.unique(np.concatenate((insults, bins, parts[0][1], parts[1][1])))
-    own = np.isin(keys, chosen)
-    columns, used = np.searchsorted(chosen, keys[own]), rows[own]
     trained = []
-    for posterior, mine in parts:
-        # Each question sees its own words; the levels serve both.
-        allowed = np.isin(chosen, np.concatenate((insults, bins, mine)))
-        ok = allowed[columns]
-        trained.append(train(used[ok], columns[ok], n, len(chosen), posterior))
-    weights = np.column_stack([w for w, _ in trained])
-    return Scorer(chosen, weights, np.array([b for _, b in trained]))
+    used = is_insult | is_bin
+    for fires, votes in zip(heuristics, label.T, strict=True):
+        table = np.column_stack((np.where(fires, 1, -1), votes))
+        posterior, _, _ = estimate(table, np.arange(table.shape[1]) >= fires.shape[1])
+        # Each question sees its own words; insults and levels serve both.
+        allowed = is_insult | is_bin | telling(rows, columns, width, posterior)
+        used = used | allowed
+        place = np.cumsum(allowed) - 1
+        mine = allowed[columns]
+        few, bias = train(rows[mine], place[columns[mine]], n, int(allowed.sum()), posterior)
+        weights = np.zeros(width)
+        weights[allowed] = few
+        trained.append((weights, bias))
+    weights = np.column_stack([w for w, _ in trained])[used]
+    return Scorer(vocabulary[used], weights, np.array([b for _, b in trained]))
 
 
 def _scored(texts: list[bytes | None], scorer: Scorer) -> np.ndarray:
