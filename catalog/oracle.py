@@ -6,12 +6,19 @@ order raw -> records -> silver -> gold -> serving.
 
 from __future__ import annotations
 
-from catalog.views import DEALS, DETAILS, RAW_STORES, STORES
-from pricetide.schemas import DEFAULT_STORES
+from pyspark.sql.types import DecimalType, IntegerType, StructField, VarcharType
+
+from catalog.views import ACCENTED, DEALS, DETAILS, RAW_STORES, STORES
+from pricetide.schemas import DEFAULT_STORES, SERVING_OFFERS
+
+
+def _text(x: str) -> str:
+    """The shortest decimal text of a double, as a decimal: what is rounded half up."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18))"
 
 
 def _r(x: str, places: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18,6)), {places}) AS DOUBLE)"
+    return f"CAST(round({_text(x)}, {places}) AS DOUBLE)"
 
 
 def _avg(x: str, places: int) -> str:
@@ -20,16 +27,30 @@ def _avg(x: str, places: int) -> str:
 
 
 def _fit(x: str, precision: int, scale: int) -> str:
-    rounded = f"round(CAST({x} AS DECIMAL(18,6)), {scale})"
+    rounded = f"round({_text(x)}, {scale})"
     return f"CAST(TRY_CAST({rounded} AS DECIMAL({precision},{scale})) AS DOUBLE)"
 
 
 def _price(x: str, currency: str) -> str:
-    amount = f"CAST(CAST(round(CAST({x} AS DECIMAL(18,6)), 2) AS DECIMAL(18,2)) AS STRING)"
+    amount = f"CAST(CAST(round({_text(x)}, 2) AS DECIMAL(28,2)) AS STRING)"
     symbol = f"CASE WHEN {currency} = 'BRL' THEN 'R$' ELSE '$' END"
     return f"CASE WHEN {x} IS NULL THEN '—' ELSE concat({symbol}, {amount}) END"
 
 
+def _misfit(field: StructField) -> str:
+    lost, long, x = "false", "false", field.name
+    if isinstance(field.dataType, VarcharType):
+        long = f"length({x}) > {field.dataType.length}"
+    elif isinstance(field.dataType, DecimalType):
+        fitted = _fit(x, field.dataType.precision, field.dataType.scale)
+        lost = f"{x} IS NOT NULL AND {fitted} IS NULL"
+    elif isinstance(field.dataType, IntegerType):
+        lost = f"{x} IS NOT NULL AND TRY_CAST({x} AS INTEGER) IS NULL"
+    count = "CAST(coalesce(sum(CASE WHEN {0} THEN 1 ELSE 0 END), 0) AS BIGINT) AS {1}"
+    counts = f"{count.format(lost, 'n_lost')}, {count.format(long, 'n_too_long')}"
+    return f"SELECT '{x}' AS column_name, {counts} FROM odd_offers"
+
+
 MEASURES = f"""
   CAST(count(DISTINCT item_id) AS BIGINT) AS n_items,
   {_avg('discount_pct', 2)} AS avg_discount,
@@ -138,11 +159,17 @@ VIEWS = {
     "offers": f"""
         SELECT item_id, name, sale_price, list_price, offer_currency, discount_pct, rating_label,
           rating_pct, store, ref_price, ref_list_price, ref_currency, snapshot_date,
-          CASE WHEN ref_currency = 'USD' THEN CAST(round(CAST(ref_price AS DECIMAL(18,6))
-            - CAST(sale_price AS DECIMAL(18,6)), 2) AS DOUBLE) END AS savings,
+          CASE WHEN ref_currency = 'USD' THEN {_r('ref_price - sale_price', 2)} END AS savings,
           {TIER} AS deal_tier
         FROM items
     """,
+    "odd_offers": """
+        SELECT * REPLACE (
+          CASE WHEN right(item_id, 1) = '7' THEN concat(item_id, 'x') ELSE item_id END AS item_id,
+          CASE WHEN right(item_id, 1) = '3' THEN sale_price * 1e9 ELSE sale_price END AS sale_price,
+          CASE WHEN right(item_id, 2) = '11' THEN repeat(name, 40) ELSE name END AS name)
+        FROM offers
+    """,
     "serving_offers": f"""
         SELECT TRY_CAST(item_id AS INTEGER) AS item_id, name,
           {_fit('sale_price', 10, 2)} AS sale_price, {_fit('list_price', 10, 2)} AS list_price,
@@ -238,6 +265,14 @@ FINAL = {
           CASE WHEN has_makers THEN maker2 END AS maker2
         FROM details
     """,
+    "landed_deals": """
+        SELECT item_id, store_id, sale_price, list_price, discount, rating_label, rating_pct
+        FROM deals
+    """,
+    "landed_stores": """
+        SELECT CAST(store_id AS STRING) AS store_id, store_name FROM raw_stores
+    """,
+    "misfits": " UNION ALL ".join(map(_misfit, SERVING_OFFERS.fields)),
     # enrichment
     "require_key": f"SELECT {DEAL_COLUMNS} FROM keyed",
     "first_wins_dedupe": f"SELECT {DEAL_COLUMNS} FROM firsts",
@@ -306,7 +341,11 @@ FINAL = {
         UNION ALL SELECT 'tags', count(*) FROM tags
         UNION ALL SELECT 'makers', count(*) FROM makers
     """,
+    "silver_items_repeated": "SELECT * FROM items",
     # joins and gold
+    "history_repeated": "SELECT * FROM history",
+    "rank_makers_joined": "SELECT * FROM rank_makers",
+    "rank_tags_joined": "SELECT * FROM rank_tags",
     "join_makers": "SELECT * FROM joined_makers",
     "join_tags": """
         SELECT i.snapshot_date, i.item_id, discount_pct, sale_price, list_price, rating_pct,
@@ -351,6 +390,31 @@ FINAL = {
         WHERE snapshot_date = (SELECT max(snapshot_date) FROM items)
         ORDER BY n_items DESC, maker_name LIMIT 20
     """,
+    "all_tags": f"""
+        SELECT tag_id, tag_name, {RANK_REPORT} FROM rank_tags
+        WHERE snapshot_date = (SELECT max(snapshot_date) FROM items)
+    """,
+    "first_makers": f"""
+        SELECT maker_name, {RANK_REPORT} FROM rank_makers
+        WHERE snapshot_date = (SELECT max(snapshot_date) FROM items)
+        ORDER BY n_items DESC, maker_name LIMIT 15
+    """,
+    "search_accents": f"""
+        SELECT item_id, name FROM ({ACCENTED.format(part="part")})
+        WHERE regexp_matches(name, '(?i)^[a-zé]*É[a-z]* .*É')
+    """,
+    "kpi_texts": f"""
+        SELECT snapshot_date, n_offers, n_top_tier,
+          concat(CAST(CAST(round(CAST(d AS DECIMAL(18,6)), 1) AS DECIMAL(18,1)) AS VARCHAR), '%')
+            AS avg_discount,
+          concat(CAST(CAST(round(CAST(r AS DECIMAL(18,6)), 0) AS DECIMAL(18,0)) AS VARCHAR), '%')
+            AS avg_rating
+        FROM (SELECT snapshot_date, CAST(count(*) AS BIGINT) AS n_offers,
+                {_avg('discount_pct', 6)} AS d, {_avg('rating_pct', 6)} AS r,
+                CAST(sum(CASE WHEN deal_tier = 'EXCELENTE' THEN 1 ELSE 0 END) AS BIGINT)
+                  AS n_top_tier
+              FROM serving_offers GROUP BY snapshot_date)
+    """,
     "history_for_name": f"""
         SELECT {HISTORY_REPORT} FROM serving_history WHERE name ILIKE '%RED %g%'
     """,

@@ -13,7 +13,12 @@ from pricetide.functions.numeric import minor_to_major
 from pricetide.functions.text import clean_name, format_price
 from pricetide.operators import conform as fit
 from pricetide.operators import dedupe, enrich, gold, lineage, serving, silver
-from pricetide.schemas import SERVING_OFFERS, SERVING_PRICE_HISTORY
+from pricetide.schemas import (
+    LANDED_DEAL_NAMES,
+    LANDED_STORE_NAMES,
+    SERVING_OFFERS,
+    SERVING_PRICE_HISTORY,
+)
 from pricetide.session import fresh_path
 from pricetide.sinks import lake
 from pricetide.sources import landed, tables
@@ -84,12 +89,13 @@ def offers(spark: SparkSession, sf: str) -> DataFrame:
     return gold.offers(items(spark, sf), unique_items=True)
 
 
-def serving_offers(spark: SparkSession, sf: str) -> DataFrame:
-    return fit.conform(offers(spark, sf), SERVING_OFFERS)
+def serving_offers(spark: SparkSession, sf: str, labelled: bool = True) -> DataFrame:
+    found = gold.offers(items(spark, sf, labelled), unique_items=True)
+    return fit.conform(found, SERVING_OFFERS, strict=True)
 
 
 def serving_history(spark: SparkSession, sf: str) -> DataFrame:
-    return fit.conform(history(spark, sf), SERVING_PRICE_HISTORY)
+    return fit.conform(history(spark, sf), SERVING_PRICE_HISTORY, strict=True)
 
 
 def offer_report(df: DataFrame) -> DataFrame:
@@ -206,6 +212,46 @@ def map_detail_explode(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register
+def landed_deals(spark: SparkSession, sf: str) -> DataFrame:
+    """Deals landed as JSON arrays of one page each, read back as rows."""
+    record = F.struct(
+        *[F.col(neutral).alias(name) for name, neutral in LANDED_DEAL_NAMES.items()]
+    )
+    page = F.floor(F.col("ord1") / 2048).alias("page")
+    array = F.to_json(F.collect_list(record), {"ignoreNullFields": "false"}).alias("value")
+    path = fresh_path(spark, "landed-deals")
+    pages = views.deals(spark, sf).groupBy(page).agg(array)
+    pages.write.partitionBy("page").text(path)
+    return landed.read_deals(spark, path, lines=False).drop("ord1", "ord2")
+
+
+@register
+def landed_stores(spark: SparkSession, sf: str) -> DataFrame:
+    """Store pairs landed as JSON lines, read back as rows."""
+    columns = [
+        F.col(neutral).cast("string").alias(name) for name, neutral in LANDED_STORE_NAMES.items()
+    ]
+    path = fresh_path(spark, "landed-stores")
+    views.raw_stores(spark, sf).select(*columns).write.json(path)
+    return landed.read_stores(spark, path).drop("ord1", "ord2")
+
+
+@register
+def misfits(spark: SparkSession, sf: str) -> DataFrame:
+    """What the serving columns cannot hold, with odd ids, prices and names put in."""
+    last = lambda n: F.right("item_id", F.lit(n))
+    item, price, name = F.col("item_id"), F.col("sale_price"), F.col("name")
+    odd = offers(spark, sf).withColumns(
+        {
+            "item_id": F.when(last(1) == "7", F.concat(item, F.lit("x"))).otherwise(item),
+            "sale_price": F.when(last(1) == "3", price * 1e9).otherwise(price),
+            "name": F.when(last(2) == "11", F.repeat(name, 40)).otherwise(name),
+        }
+    )
+    return fit.misfits(odd, SERVING_OFFERS)
+
+
 # --- enrichment ----------------------------------------------------------------
 
 
@@ -327,8 +373,9 @@ def maker_bridge(spark: SparkSession, sf: str) -> DataFrame:
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the three Silver tables, counted by the writes that make them."""
     root = fresh_path(spark, "silver")
-    lake.replace_snapshots(records(spark, sf), f"{root}/records")
-    landed_records = tables.read_table(spark, f"{root}/records")
+    found = records(spark, sf)
+    lake.replace_snapshots(found, f"{root}/records")
+    landed_records = tables.read_table(spark, f"{root}/records", found.schema)
     outputs = {
         "items": silver.silver_items(landed_records, unique_records=True),
         "tags": silver.tag_bridge(landed_records, unique_records=True),
@@ -340,19 +387,61 @@ def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(counts, "layer string, n_rows bigint")
 
 
+@register
+def silver_items_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that arrive twice: the first of each item and snapshot survives."""
+    once = records(spark, sf)
+    again = once.withColumns({"ord2": F.col("ord2") + 100, "name": F.lit("again")})
+    return silver.silver_items(once.unionByName(again), unique_records=False)
+
+
 # --- joins and gold ---------------------------------------------------------------
 
 
+@register
+def history_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Items that are there twice: the smallest row survives."""
+    once = items(spark, sf, labelled=False)
+    again = once.withColumn("name", F.concat("name", F.lit("~")))
+    return gold.price_history(once.unionByName(again), unique_items=False)
+
+
+def silver_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Items, tags and makers of records that are written once."""
+    found = unlabelled(spark, sf)
+    path = fresh_path(spark, "records")
+    found.write.parquet(path)
+    stored = spark.read.schema(found.schema).parquet(path)
+    return (
+        silver.silver_items(stored, unique_records=True),
+        silver.tag_bridge(stored, unique_records=True),
+        silver.maker_bridge(stored, unique_records=True),
+    )
+
+
+@register
+def rank_makers_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranking from the two Silver tables, as where only these are there."""
+    facts, _, bridge = silver_tables(spark, sf)
+    return gold.rank_makers(facts, bridge, unique_items=True, unique_makers=True)
+
+
+@register
+def rank_tags_joined(spark: SparkSession, sf: str) -> DataFrame:
+    facts, bridge, _ = silver_tables(spark, sf)
+    return gold.rank_tags(facts, bridge, unique_items=True)
+
+
 @register
 def join_makers(spark: SparkSession, sf: str) -> DataFrame:
-    bridge = silver.maker_bridge(unlabelled(spark, sf), unique_records=True)
-    return gold.join_makers(items(spark, sf, labelled=False), bridge)
+    facts, _, bridge = silver_tables(spark, sf)
+    return gold.join_makers(facts, bridge)
 
 
 @register
 def join_tags(spark: SparkSession, sf: str) -> DataFrame:
-    bridge = silver.tag_bridge(unlabelled(spark, sf), unique_records=True)
-    return gold.join_tags(items(spark, sf, labelled=False), bridge)
+    facts, bridge, _ = silver_tables(spark, sf)
+    return gold.join_tags(facts, bridge)
 
 
 @register
@@ -436,6 +525,28 @@ def top_makers(spark: SparkSession, sf: str) -> DataFrame:
     return serving.top_makers(rank_makers(spark, sf), dates=item_dates(spark, sf))
 
 
+@register
+def all_tags(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.top_tags(rank_tags(spark, sf), limit=None, dates=item_dates(spark, sf))
+
+
+@register
+def first_makers(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.top_makers(rank_makers(spark, sf), limit=15, dates=item_dates(spark, sf))
+
+
+@register
+def search_accents(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.search_regex(views.accented(spark, sf), "^[a-zé]*É[a-z]* .*É")
+
+
+@register
+def kpi_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.kpi_texts(
+        serving.kpis(serving_offers(spark, sf, labelled=False), by=["snapshot_date"])
+    )
+
+
 @register
 def history_for_name(spark: SparkSession, sf: str) -> DataFrame:
     return plain(serving.history_for_name(serving_history(spark, sf), "RED %g"))
@@ -463,7 +574,7 @@ def tier_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def filter_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.filter_coverage(serving_offers(spark, sf), "ring", by=["snapshot_date"])
+    return serving.filter_coverage(serving_offers(spark, sf, labelled=False), "ring", by=["snapshot_date"])
 
 
 @register
@@ -496,7 +607,7 @@ def history_display(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def kpis(spark: SparkSession, sf: str) -> DataFrame:
-    found = serving.kpis(serving_offers(spark, sf), by=["snapshot_date"])
+    found = serving.kpis(serving_offers(spark, sf, labelled=False), by=["snapshot_date"])
     rounded = {
         c: F.round(F.col(c).cast("decimal(18,8)"), 6).cast("double")
         for c in ("avg_discount", "avg_rating")
@@ -506,7 +617,7 @@ def kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def tier_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.tier_distribution(serving_offers(spark, sf), by=["snapshot_date"])
+    return serving.tier_distribution(serving_offers(spark, sf, labelled=False), by=["snapshot_date"])
 
 
 @register

@@ -1,8 +1,8 @@
 """Adapter views: the given tables seen as deals, item details and stores.
 
 The flat SQL runs as it stands on Spark and on the checking engine. Nulls, empty
-keys, malformed texts and failed lookups are put in by modulus, because the
-given tables have none. The views keep every row of their table.
+keys, malformed texts and failed lookups (by another key) are put in by modulus,
+because the given tables have none. The views keep every row of their table.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ FROM {lineitem}
 """
 
 DETAILS = """
-SELECT CAST(p_partkey AS STRING) AS item_id, p_partkey % 17 <> 0 AS success,
+SELECT CASE WHEN p_partkey % 59 = 0 THEN concat('x', CAST(p_partkey AS STRING))
+       ELSE CAST(p_partkey AS STRING) END AS item_id, p_partkey % 17 <> 0 AS success,
   CASE WHEN p_partkey % 37 = 0 THEN NULL
        WHEN p_partkey % 43 = 0 THEN concat(chr(9), p_name, ' ')
        ELSE concat('  ', p_name, ' ') END AS name,
@@ -59,12 +60,12 @@ SELECT CAST(p_partkey AS STRING) AS item_id, p_partkey % 17 <> 0 AS success,
   CASE WHEN p_partkey % 3 = 0 THEN concat(p_brand, ' ') WHEN p_partkey % 19 = 0 THEN NULL
        ELSE p_type END AS maker2
 FROM {part}
-WHERE p_partkey % 59 <> 0
 """
 
 STORES = """
-SELECT CAST(s_suppkey AS STRING) AS store_id, s_name AS store_name
-FROM {supplier} WHERE s_suppkey % 11 <> 0
+SELECT CASE WHEN s_suppkey % 11 = 0 THEN concat('x', CAST(s_suppkey AS STRING))
+       ELSE CAST(s_suppkey AS STRING) END AS store_id, s_name AS store_name
+FROM {supplier}
 """
 
 RAW_STORES = """
@@ -72,6 +73,14 @@ SELECT s_suppkey - s_suppkey % 3 AS store_id, s_name AS store_name, s_suppkey AS
 FROM {supplier}
 """
 
+#: Names with letters beyond ASCII, in both cases.
+ACCENTED = """
+SELECT CAST(p_partkey AS STRING) AS item_id,
+  CASE WHEN p_partkey % 2 = 0 THEN upper(replace(p_name, 'e', 'é'))
+       ELSE replace(p_name, 'e', 'é') END AS name
+FROM {part}
+"""
+
 
 SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
@@ -125,5 +134,9 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(STORES, supplier=table(spark, sf_dir, "supplier"))
 
 
+def accented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(ACCENTED, part=table(spark, sf_dir, "part"))
+
+
 def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RAW_STORES, supplier=table(spark, sf_dir, "supplier"))

@@ -1,10 +1,9 @@
-"""Rounding and averaging through decimals.
+"""Numbers from text, rounding and averaging.
 
-A sum of doubles depends on the order in which partitions arrive and a rounded
-double depends on its binary tail. Both go away when the value is a decimal
-while it is summed and rounded, so results do not change with the number of
-executors. NaN counts as missing; a value of 1e12 or more, which no serving
-column could hold, fails the run instead of being dropped.
+A value of one row is rounded as the double it is: half up on its shortest decimal
+text. A sum of doubles depends on the order in which partitions arrive, so means are
+taken over decimals. NaN, infinities and values of ``LARGEST`` or more are no numbers
+here: they become null where text is cast, and are counted there.
 """
 
 from __future__ import annotations
@@ -13,13 +12,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Larger values do not fit the decimals that means are taken over.
+LARGEST = 1e20
+
+
+def finite(value: Column) -> Column:
+    """The double, or null for NaN, infinities and values of LARGEST or more."""
+    number = value.try_cast("double")
+    return F.when(F.abs(number) < LARGEST, number)  # NaN is larger than any number
+
+
 def exact(value: Column) -> Column:
-    return F.nanvl(value.cast("double"), F.lit(None).cast("double")).cast("decimal(18,6)")
+    return finite(value).cast("decimal(28,6)")
 
 
-def round_exact(value: Column, places: int) -> Column:
-    """Round half up to ``places`` and give a double back."""
-    return F.round(exact(value), places).cast("double")
+def round_half_up(value: Column, places: int) -> Column:
+    """One value to ``places``; NaN and infinities are null."""
+    return F.round(finite(value), places)
 
 
 def avg_exact(value: Column, places: int) -> Column:
@@ -28,7 +37,7 @@ def avg_exact(value: Column, places: int) -> Column:
 
 
 def max_exact(value: Column, places: int) -> Column:
-    return round_exact(F.max(value), places)
+    return F.round(F.max(finite(value)), places)
 
 
 def minor_to_major(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pricetide.functions.numeric import exact
+from pricetide.functions.numeric import round_half_up
 from pricetide.schemas import STORE_LABEL_PREFIX, UNKNOWN_NAME
 
 
@@ -22,14 +22,14 @@ def store_label(store_id: Column, store_name: Column, prefix: str = STORE_LABEL_
 
 def format_price(value: Column, currency: Column) -> Column:
     """``R$12.30`` for BRL, ``$12.30`` for anything else, an em dash for null."""
-    amount = F.round(exact(value), 2).cast("decimal(18,2)").cast("string")
+    amount = round_half_up(value, 2).cast("decimal(28,2)").cast("string")
     symbol = F.when(currency == "BRL", F.lit("R$")).otherwise(F.lit("$"))
     return F.coalesce(F.concat(symbol, amount), F.lit("—"))
 
 
 def matches_regex(name: Column, pattern: str) -> Column:
-    """Case-insensitive regular expression; a null name does not match."""
-    return F.coalesce(name.rlike("(?i)" + pattern), F.lit(False))
+    """Case-insensitive regular expression, beyond ASCII too; a null name does not match."""
+    return F.coalesce(name.rlike("(?iu)" + pattern), F.lit(False))
 
 
 def matches_like(name: Column, text: str) -> Column:

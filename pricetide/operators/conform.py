@@ -13,14 +13,7 @@ from pyspark.sql.types import (
     VarcharType,
 )
 
-from pricetide.functions.numeric import exact
-
-
-def align_types(df: DataFrame) -> DataFrame:
-    """Item id to int and snapshot date to date, each only where it is a column."""
-    casts = {"item_id": "int", "snapshot_date": "date"}
-    present = {c: F.col(c).try_cast(t) for c, t in casts.items() if c in df.columns}
-    return df.withColumns(present) if present else df
+from pricetide.functions.numeric import round_half_up
 
 
 def _fitted(df: DataFrame, field: StructField) -> Column:
@@ -29,16 +22,32 @@ def _fitted(df: DataFrame, field: StructField) -> Column:
         return value.cast("string")
     source = df.schema[field.name].dataType
     if isinstance(field.dataType, DecimalType) and isinstance(source, (DoubleType, FloatType)):
-        value = exact(value)
+        value = round_half_up(value, field.dataType.scale)
     return value.try_cast(field.dataType)
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
+def conform(df: DataFrame, schema: StructType, strict: bool = False) -> DataFrame:
     """Columns of ``schema`` in its order and types; what does not fit is null.
 
-    Text keeps its full length; ``misfits`` reports it when it is too long.
+    Text keeps its full length; ``misfits`` reports it when it is too long. With
+    ``strict`` a value that would become null stops the query that reads it, in the
+    same pass; its text may still be too long.
     """
-    return df.select(*[_fitted(df, f).alias(f.name) for f in schema.fields])
+
+    def fitted(f: StructField) -> Column:
+        value = _fitted(df, f)
+        if strict:
+            lost = F.col(f.name).isNotNull() & value.isNull()
+            why = F.concat(F.lit(f"{f.name} does not fit: "), F.col(f.name).cast("string"))
+            value = F.when(lost, F.raise_error(why).cast(value_type(f))).otherwise(value)
+        return value.alias(f.name)
+
+    return df.select(*[fitted(f) for f in schema.fields])
+
+
+def value_type(field: StructField) -> str:
+    """The type a fitted value has: varying texts are plain ones."""
+    return "string" if isinstance(field.dataType, VarcharType) else field.dataType.simpleString()
 
 
 def misfits(df: DataFrame, schema: StructType) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.functions.numeric import avg_exact, exact, max_exact, round_exact
+from pricetide.functions.numeric import avg_exact, finite, max_exact, round_half_up
 from pricetide.operators.dedupe import ITEM_KEYS, keep_first
 from pricetide.operators.silver import cleaned_makers, cleaned_tags, silver_items
 from pricetide.schemas import LOWEST_TIER, OFFER_CURRENCY, TIERS, UNKNOWN_NAME
@@ -52,7 +52,7 @@ def _one_per_item(items: DataFrame, unique_items: bool, columns: Sequence[str])
 def price_history(items: DataFrame, unique_items: bool = False) -> DataFrame:
     """Prices and discount of each item and snapshot, to two places."""
     rounded = {
-        c: round_exact(F.col(c), 2)
+        c: round_half_up(F.col(c), 2)
         for c in ("sale_price", "list_price", "ref_price", "discount_pct")
     }
     return _one_per_item(items, unique_items, HISTORY_COLUMNS).withColumns(rounded)
@@ -62,8 +62,7 @@ def savings(
     ref_price: Column, sale_price: Column, ref_currency: Column, currency: str = OFFER_CURRENCY
 ) -> Column:
     """Reference minus sale price where both are in one currency, else null."""
-    difference = exact(ref_price) - exact(sale_price)
-    return F.when(ref_currency == currency, F.round(difference, 2).cast("double"))
+    return F.when(ref_currency == currency, round_half_up(ref_price - sale_price, 2))
 
 
 def deal_tier(
@@ -71,7 +70,8 @@ def deal_tier(
     tiers: Sequence[tuple[str, float]] = TIERS,
     lowest: str = LOWEST_TIER,
 ) -> Column:
-    """First tier whose threshold the unrounded discount reaches; null is lowest."""
+    """First tier whose threshold the unrounded discount reaches; null and NaN are lowest."""
+    discount = finite(discount)
     (label, threshold), *others = tiers
     tier = F.when(discount >= threshold, F.lit(label))
     for label, threshold in others:
@@ -144,7 +144,8 @@ def one_name_per_tag(tags: DataFrame) -> DataFrame:
 def rank_tags(items: DataFrame, tags: DataFrame, unique_items: bool = False) -> DataFrame:
     """Ranking per snapshot, tag id and tag name from the two Silver tables."""
     facts = _one_per_item(items, unique_items, ("snapshot_date", *MEASURES))
-    joined = join_tags(facts, one_name_per_tag(tags))
+    # Dealt by item first: the aggregate and the join then share that exchange.
+    joined = join_tags(facts, one_name_per_tag(tags.repartition(*ITEM_KEYS)))
     return rank_by(joined, ("snapshot_date", "tag_id", "tag_name"), True)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.functions.numeric import minor_to_major
+from pricetide.functions.numeric import finite, minor_to_major
 from pricetide.functions.text import clean_name
 from pricetide.operators.dedupe import ARRIVAL, ITEM_KEYS, keep_first
 from pricetide.schemas import ACCEPTED_CURRENCIES, OFFER_CURRENCY
@@ -42,25 +42,26 @@ def typed_projection(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "snapshot_date",
         "item_id",
         clean_name(F.col("name")).alias("name"),
-        F.col("sale_price").try_cast("double").alias("sale_price"),
-        F.col("list_price").try_cast("double").alias("list_price"),
+        finite(F.col("sale_price")).alias("sale_price"),
+        finite(F.col("list_price")).alias("list_price"),
         F.lit(OFFER_CURRENCY).alias("offer_currency"),
-        F.col("discount").try_cast("double").alias("discount_pct"),
+        finite(F.col("discount")).alias("discount_pct"),
         "rating_label",
         F.col("rating_pct").try_cast("int").alias("rating_pct"),
         "store",
         minor_to_major(F.col("price.final")).alias("ref_price"),
         minor_to_major(F.col("price.initial")).alias("ref_list_price"),
         F.col("price.currency").alias("ref_currency"),
-        F.col("price.discount_percent").try_cast("double").alias("ref_discount_pct"),
+        finite(F.col("price.discount_percent")).alias("ref_discount_pct"),
         *keep,
     )
 
 
 def cast_losses(df: DataFrame, casts: dict[str, str] = TEXT_CASTS) -> DataFrame:
-    """How many texts of each column do not parse, in one pass."""
+    """How many texts of each column give no number, NaN and infinities included, in one pass."""
+    number = lambda c, t: finite(F.col(c)) if t == "double" else F.col(c).try_cast(t)
     lost = [
-        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c)
+        F.count_if(F.col(c).isNotNull() & number(c, t).isNull()).alias(c)
         for c, t in casts.items()
     ]
     counts = df.agg(*lost)

@@ -26,7 +26,7 @@ def run_bronze(
     snapshot: str,
     run: lineage.Run,
     stores: bool = True,
-    lines: bool = False,
+    lines: bool = True,
     detail_lines: bool = True,
 ) -> dict[str, int]:
     """Landed deals, stores and details of one snapshot to raw deals and records.
@@ -36,10 +36,13 @@ def run_bronze(
     lines, ``detail_lines`` that details are one map per line, not per file.
     """
     day = F.lit(snapshot).cast("date")
-    deals = landed.read_deals(spark, f"{landing}/deals", lines).withColumn("snapshot_date", day)
-    raw = lake.write_bronze(
-        lineage.stamp_lineage(deals, run, "bronze_raw"), f"{root}/bronze/deals", [snapshot]
-    )
+    landed_deals = landed.read_deals(spark, f"{landing}/deals", lines)
+    stamped = lineage.stamp_lineage(landed_deals.withColumn("snapshot_date", day), run, "bronze_raw")
+    raw = lake.write_bronze(stamped, f"{root}/bronze/deals", [snapshot])
+    # Parsed once: records and audit read what was written.
+    deals = tables.read_snapshot(
+        spark, f"{root}/bronze/deals", snapshot, stamped.schema, "json"
+    ).select(*landed_deals.columns, "snapshot_date")
 
     # Dimensions are written first: the joins then see plain scans of known size,
     # which Spark broadcasts if small and splits on skew if not.
@@ -53,12 +56,18 @@ def run_bronze(
         )
     else:
         labels = enrich.default_stores(spark)
-    details = dedupe.keep_last(
+    last = dedupe.keep_last(
         landed.read_details(spark, f"{landing}/details", detail_lines).withColumn(
             "snapshot_date", day
         ),
         dedupe.ITEM_KEYS,
-        ["ord1", F.xxhash64("name", "price")],
+        dedupe.ARRIVAL,
+    ).drop(*dedupe.ARRIVAL, "snapshot_date")
+    lake.replace_table(last, f"{root}/bronze/details/{snapshot}")
+    details = (
+        spark.read.schema(last.schema)
+        .parquet(f"{root}/bronze/details/{snapshot}")
+        .withColumn("snapshot_date", day)
     )
 
     records = enrich.enriched_records(deals, details, labels, on=dedupe.ITEM_KEYS)
@@ -104,19 +113,24 @@ def run_silver(
 
 
 def run_gold(spark: SparkSession, root: str, snapshots: Sequence[str]) -> dict[str, int]:
-    """Silver tables to price history, offers and the two rankings."""
+    """Silver items to price history and offers, records to the two rankings.
+
+    Rankings of the records explode the kept lists: one exchange, and no join of
+    items and bridge.
+    """
 
     def read(name: str, schema) -> DataFrame:
         return tables.read_snapshot(spark, f"{root}/silver/{name}", snapshots, schema)
 
     items = read("items", schemas.SILVER_ITEMS)
-    makers = read("makers", schemas.SILVER_MAKERS)
-    tags = read("tags", schemas.SILVER_TAGS)
+    records = tables.read_snapshot(
+        spark, f"{root}/bronze/records", snapshots, schemas.BRONZE_RECORDS
+    )
     outputs = {
         "price_history": gold.price_history(items, unique_items=True),
         "offers": gold.offers(items, unique_items=True),
-        "rank_makers": gold.rank_makers(items, makers, unique_items=True, unique_makers=True),
-        "rank_tags": gold.rank_tags(items, tags, unique_items=True),
+        "rank_makers": gold.rank_makers_of_records(records),
+        "rank_tags": gold.rank_tags_of_records(records),
     }
     return {
         name: lake.replace_snapshots(df, f"{root}/gold/{name}", snapshots).rows
@@ -159,33 +173,52 @@ def run_load(
 def main(arguments: Sequence[str] | None = None) -> None:
     """The steps from the command line, for spark-submit."""
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("step", choices=["bronze", "silver", "gold", "load"])
+    parser.add_argument("step", choices=["bronze", "envelopes", "silver", "gold", "load"])
     parser.add_argument("--root", required=True)
-    parser.add_argument("--snapshot", required=True, action="append")
+    parser.add_argument(
+        "--snapshot", action="append", help="repeatable; for load the latest of each table if absent"
+    )
     parser.add_argument("--at", required=True, help="time of the run, yyyy-MM-dd HH:mm:ss")
-    parser.add_argument("--landing")
+    parser.add_argument(
+        "--landing",
+        help="folder with deals, stores and details; {day} in it stands for the snapshot, and must "
+        "be there for several snapshots. Files arrive in the order of their names as text",
+    )
     parser.add_argument("--run-id", default="")
     parser.add_argument("--default-stores", action="store_true")
-    parser.add_argument("--lines", action="store_true")
+    parser.add_argument("--arrays", action="store_true", help="deals and stores are JSON arrays")
+    parser.add_argument(
+        "--detail-files", action="store_true", help="details are one map per file, not per line"
+    )
     parser.add_argument("--url")
     parser.add_argument("--driver", default=jdbc.Target.driver)
     parser.add_argument("--property", action="append", default=[], help="name=value for JDBC")
     given = parser.parse_args(arguments)
+    if given.step in ("bronze", "silver", "gold") and not given.snapshot:
+        parser.error("name a --snapshot")
+    if given.step in ("bronze", "envelopes") and not given.landing:
+        parser.error("name a --landing")
+    if given.step == "bronze" and len(given.snapshot) > 1 and "{day}" not in given.landing:
+        parser.error("several snapshots need {day} in --landing: each has files of its own")
     spark = SparkSession.builder.appName(f"pricetide-{given.step}").getOrCreate()
     if given.step == "bronze":
         run = lineage.Run(given.run_id, given.at, sources=("deals", "details"))
         done = {
             day: run_bronze(
                 spark,
-                given.landing,
+                given.landing.replace("{day}", day),
                 given.root,
                 day,
                 run,
                 stores=not given.default_stores,
-                lines=given.lines,
+                lines=not given.arrays,
+                detail_lines=not given.detail_files,
             )
             for day in given.snapshot
         }
+    elif given.step == "envelopes":
+        run = lineage.Run(given.run_id, given.at, sources=("envelopes",))
+        done = {"records": import_envelopes(spark, given.landing, given.root, run).rows}
     elif given.step == "silver":
         done = run_silver(spark, given.root, given.snapshot, given.at)
     elif given.step == "gold":

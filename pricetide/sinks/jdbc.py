@@ -3,18 +3,22 @@
 Spark commits a JDBC write task by task, so a retried task can leave rows twice
 and a failed job can leave half a snapshot. The load therefore fills a staging
 table first and then, in one transaction of the target, deletes the snapshots
-and inserts the distinct staged rows. A failed load changes nothing.
+and inserts the staged rows, telling a retried task's copies apart from equal rows
+by a number that each row got before it was written. A failed load changes nothing
+but its own staging table, whose name no other load has.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricetide.sources.tables import PARTITION
 
@@ -32,6 +36,14 @@ class Target:
     connections: int = 16
 
 
+#: Column of the staging table that numbers its rows.
+ROW = "load_row"
+
+
+def drop_statement(table: str) -> str:
+    return f"DROP TABLE {identifier(table)}"
+
+
 def identifier(name: str) -> str:
     """Names cannot be bound as parameters, so only plain ones are let through."""
     if not _IDENTIFIER.fullmatch(name):
@@ -47,7 +59,7 @@ def insert_statement(table: str, staging: str, columns: Sequence[str]) -> str:
     names = ", ".join(identifier(c) for c in columns)
     return (
         f"INSERT INTO {identifier(table)} ({names}) "
-        f"SELECT DISTINCT {names} FROM {identifier(staging)}"
+        f"SELECT {names} FROM (SELECT DISTINCT {ROW}, {names} FROM {identifier(staging)}) AS staged"
     )
 
 
@@ -97,18 +109,6 @@ def _delete(spark: SparkSession, connection, table: str, snapshots: Iterable, ke
     statement.close()
 
 
-def delete_snapshots(
-    spark: SparkSession,
-    target: Target,
-    table: str,
-    snapshots: Iterable[str | date],
-    key: str = PARTITION,
-) -> None:
-    """Delete whole snapshots at the target in one transaction."""
-    with transaction(spark, target) as connection:
-        _delete(spark, connection, table, snapshots, key)
-
-
 def load_snapshots(
     df: DataFrame,
     target: Target,
@@ -117,10 +117,12 @@ def load_snapshots(
     key: str = PARTITION,
 ) -> None:
     """Replace ``snapshots`` of ``table`` by the rows of ``df``, all or nothing."""
-    spark, staging = df.sparkSession, f"{table}_staging"
-    append_rows(df, target, staging, mode="overwrite")
+    spark, staging = df.sparkSession, f"{table}_staging_{uuid.uuid4().hex[:12]}"
+    # The number is stable if the rows come in the same order again, as those of a stored table do.
+    append_rows(df.withColumn(ROW, F.monotonically_increasing_id()), target, staging, mode="overwrite")
     with transaction(spark, target) as connection:
         _delete(spark, connection, table, snapshots, key)
         statement = connection.createStatement()
         statement.executeUpdate(insert_statement(table, staging, df.columns))
+        statement.executeUpdate(drop_statement(staging))
         statement.close()

@@ -58,17 +58,18 @@ def replace_snapshots(
         .save(root)
     )
     dates = {d for d in seen.get["dates"]}
-    for emptied in sorted(set(snapshots) - dates):
-        clear_snapshot(df, root, emptied, fmt, key)
+    clear_snapshots(df.sparkSession, root, sorted(set(snapshots) - dates), key)
     return Written(seen.get["rows"], tuple(date.fromisoformat(d) for d in sorted(dates)))
 
 
-def clear_snapshot(
-    df: DataFrame, root: str, snapshot: str, fmt: str = "parquet", key: str = PARTITION
+def clear_snapshots(
+    spark: SparkSession, root: str, snapshots: Iterable[str], key: str = PARTITION
 ) -> None:
-    """Leave the directory of one date empty."""
-    nothing = df.sparkSession.createDataFrame([], df.drop(key).schema)
-    nothing.write.format(fmt).mode("overwrite").save(f"{root}/{key}={snapshot}")
+    """Remove the directories of some dates through the table's file system, without a job."""
+    jvm = spark.sparkContext._jvm
+    for snapshot in snapshots:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{key}={snapshot}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def replace_snapshot(df: DataFrame, root: str, snapshot: str | date, **options) -> Written:

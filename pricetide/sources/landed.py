@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType
+from pyspark.sql.types import DataType
 
 from pricetide.schemas import (
     LANDED_DEAL,
@@ -27,45 +27,35 @@ def _renamed(prefix: str, names: dict[str, str]) -> list[Column]:
     return [F.col(f"{prefix}.{landed}").alias(neutral) for landed, neutral in names.items()]
 
 
-def parse_array(text: Column, record: DataType) -> Column:
-    """A response text to its records; a lone object counts as one record."""
-    return F.from_json(text, ArrayType(record))
-
-
-def _records(spark: SparkSession, path: str, record: DataType, names: dict[str, str]) -> DataFrame:
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("ord1"), parse_array(F.col("value"), record).alias("r")
-    )
-    return files.select("ord1", F.posexplode("r").alias("ord2", "r")).select(
-        "ord1", "ord2", *_renamed("r", names)
+def _position() -> Column:
+    """Where a row stands in its file: row numbers rise within a block wherever it is read."""
+    return F.struct(
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
-def _record_lines(
-    spark: SparkSession, path: str, record: DataType, names: dict[str, str]
+def _records(
+    spark: SparkSession, path: str, record: DataType, names: dict[str, str], lines: bool
 ) -> DataFrame:
-    rows = spark.read.schema(record).json(path)
-    # row numbers rise within a file block wherever the block is read
-    position = F.struct(
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+    # A truncated file or an element that is no object stops the run: its records
+    # would be gone without a count otherwise.
+    reader = spark.read.schema(record).option("mode", "FAILFAST").option("multiLine", not lines)
+    rows = reader.json(path)
     columns = [F.col(landed).alias(neutral) for landed, neutral in names.items()]
     return rows.select(
-        F.col("_metadata.file_path").alias("ord1"), position.alias("ord2"), *columns
+        F.col("_metadata.file_path").alias("ord1"), _position().alias("ord2"), *columns
     )
 
 
-def read_deals(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Deals from JSON-array responses, or from JSON lines (splittable)."""
-    reader = _record_lines if lines else _records
-    return reader(spark, path, LANDED_DEAL, LANDED_DEAL_NAMES)
+def read_deals(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Deals from JSON lines (splittable), or from JSON-array responses, a file at a time."""
+    return _records(spark, path, LANDED_DEAL, LANDED_DEAL_NAMES, lines)
 
 
-def read_stores(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_stores(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
     """Raw store pairs; ``store_dimension`` keeps the last name of each id."""
-    reader = _record_lines if lines else _records
-    return reader(spark, path, LANDED_STORE, LANDED_STORE_NAMES)
+    return _records(spark, path, LANDED_STORE, LANDED_STORE_NAMES, lines)
 
 
 def explode_detail_map(df: DataFrame, text: str = "value") -> DataFrame:
@@ -89,7 +79,7 @@ def explode_detail_map(df: DataFrame, text: str = "value") -> DataFrame:
 def read_details(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
     """Item details from one map per line, or from one map per file."""
     text = spark.read.text(path, wholetext=not lines).select(
-        F.col("_metadata.file_path").alias("ord1"), "value"
+        F.col("_metadata.file_path").alias("ord1"), _position().alias("ord2"), "value"
     )
     return explode_detail_map(text)
 
@@ -100,10 +90,18 @@ def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 
 def envelope_records(envelopes: DataFrame) -> DataFrame:
-    """Records of the envelopes under neutral names; an empty envelope gives none."""
+    """Records of the envelopes under neutral names; an empty envelope gives none.
+
+    Arrival is the time of ingestion, then the execution id, which is random. A
+    document without a valid date belongs to no snapshot and stops the run.
+    """
+    text = F.col("metadata.data_ingestao")
+    day = text.try_cast("date")
+    missing = F.raise_error(F.concat(F.lit("envelope without a date: "), F.coalesce(text, F.lit("null"))))
+    arrival = F.struct(F.col("metadata.timestamp_ingestao").alias("at"), F.col("metadata.execution_id").alias("run"))
     rows = envelopes.select(
-        F.col("metadata.data_ingestao").try_cast("date").alias("snapshot_date"),
-        F.col("metadata.execution_id").alias("ord1"),
+        F.when(day.isNull(), missing.cast("date")).otherwise(day).alias("snapshot_date"),
+        arrival.alias("ord1"),
         F.posexplode("dados").alias("ord2", "r"),
     )
     return rows.select("snapshot_date", "ord1", "ord2", *_renamed("r", LANDED_RECORD_NAMES))

@@ -43,11 +43,12 @@ DEALS = [a_deal(None), a_deal(""), a_deal("7"), a_deal("7", sale="1.00"), a_deal
          a_deal("9"), a_deal("6"), a_deal("5")]
 STORES = [{"storeID": "1", "storeName": "old"}, {"storeID": 1, "storeName": "One"}]
 AT = "2026-01-01 06:00:00"
+LAYOUT = ["--arrays"]
 
 
 def run_all(spark, where, root, day, **options):
     return [
-        daily.run_bronze(spark, where, root, day, Run("r", AT, sources=("a",)), **options),
+        daily.run_bronze(spark, where, root, day, Run("r", AT, sources=("a",)), lines=False, **options),
         daily.run_silver(spark, root, [day], AT),
         daily.run_gold(spark, root, [day]),
     ]
@@ -159,3 +160,18 @@ def test_command_line(spark, lake_root, capsys, monkeypatch):
     _, root, _ = lake_root
     daily.main(["gold", "--root", root, "--snapshot", "2026-01-01", "--at", AT])
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["offers"] == 2
+
+
+def test_command_line_takes_each_date_from_its_own_files(spark, tmp_path, capsys):
+    for day, item in (("2026-01-01", "7"), ("2026-01-02", "8")):
+        landing(tmp_path / f"in/{day}", [a_deal(item)], DETAILS, STORES)
+    common = ["bronze", "--root", f"{tmp_path}/lake", "--at", AT, *LAYOUT]
+    dates = ["--snapshot", "2026-01-01", "--snapshot", "2026-01-02"]
+    with pytest.raises(SystemExit):
+        daily.main([*common, *dates, "--landing", f"{tmp_path}/in/2026-01-01"])
+    daily.main([*common, *dates, "--landing", f"{tmp_path}/in/{{day}}"])
+    done = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert done == {day: {"deals": 1, "records": 1} for day in ("2026-01-01", "2026-01-02")}
+    found = tables.read_table(spark, f"{tmp_path}/lake/bronze/records", schemas.BRONZE_RECORDS)
+    got = sorted((str(r.snapshot_date), r.item_id) for r in found.collect())
+    assert got == [("2026-01-01", "7"), ("2026-01-02", "8")]

@@ -10,7 +10,8 @@ from pricetide.sinks import jdbc
 def test_statements():
     assert jdbc.delete_statement("dw.offers") == "DELETE FROM dw.offers WHERE snapshot_date = ?"
     assert jdbc.insert_statement("offers", "offers_staging", ["a", "b"]) == (
-        "INSERT INTO offers (a, b) SELECT DISTINCT a, b FROM offers_staging"
+        "INSERT INTO offers (a, b) SELECT a, b FROM "
+        "(SELECT DISTINCT load_row, a, b FROM offers_staging) AS staged"
     )
 
 
@@ -62,8 +63,10 @@ def test_load_order(spark, recorded):
     log = recorded()
     df = spark.createDataFrame([(1,)], "x int")
     jdbc.load_snapshots(df, jdbc.Target("jdbc:none"), "t", ["2026-01-01", "2026-01-02"])
+    staging = log[0][1]
+    assert staging.startswith("t_staging_") and len(staging) > 20
     assert log == [
-        ("overwrite", "t_staging"),
+        ("overwrite", staging),
         ("prepareStatement", "DELETE FROM t WHERE snapshot_date = ?"),
         ("setDate", "1", "2026-01-01"),
         ("executeUpdate",),
@@ -71,7 +74,8 @@ def test_load_order(spark, recorded):
         ("executeUpdate",),
         ("close",),
         ("createStatement",),
-        ("executeUpdate", "INSERT INTO t (x) SELECT DISTINCT x FROM t_staging"),
+        ("executeUpdate", jdbc.insert_statement("t", staging, ["x"])),
+        ("executeUpdate", f"DROP TABLE {staging}"),
         ("close",),
         ("commit",),
     ]

@@ -184,8 +184,14 @@ def test_all_gold_tables_fit_their_serving_tables(spark):
         assert misfit.count() == 0, name
 
 
-def test_align_types_touches_only_present_columns(spark):
-    data = spark.createDataFrame([("12", "2026-01-01")], "item_id string, snapshot_date string")
-    assert rows(conform.align_types(data)) == [(12, date(2026, 1, 1))]
-    other = spark.createDataFrame([("x",)], "maker_name string")
-    assert conform.align_types(other).columns == ["maker_name"]
+def test_strict_reads_stop_at_a_value_that_does_not_fit(spark):
+    data = spark.createDataFrame([("12", 1e9)], "item_id string, sale_price double")
+    schema = type(SERVING_OFFERS)([f for f in SERVING_OFFERS.fields if f.name in data.columns])
+    assert rows(conform.conform(data, schema)) == [(12, None)]
+    with pytest.raises(Exception, match="sale_price does not fit"):
+        conform.conform(data, schema, strict=True).collect()
+
+
+def test_search_folds_letters_beyond_ascii(spark):
+    names = spark.createDataFrame([("POKÉMON",), ("pokémon",), ("pokemon",)], "name string")
+    assert serving.search_regex(names, "pokémon").count() == 2

@@ -1,9 +1,10 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from pricetide.functions.numeric import avg_exact, minor_to_major, round_exact
+from pricetide.functions.numeric import avg_exact, finite, max_exact, minor_to_major, round_half_up
 from pricetide.functions.text import clean_name
-from pricetide.operators import silver
+from pricetide.operators import gold, silver
 from pricetide.schemas import BRONZE_RECORDS
 
 COLUMNS = [
@@ -115,12 +116,27 @@ def test_rounding(spark):
     data = spark.createDataFrame(
         [(1.005,), (0.285,), (-1.005,), (None,), (float("nan"),)], "x double"
     )
-    assert [r[0] for r in data.select(round_exact(F.col("x"), 2)).collect()] == [
+    assert [r[0] for r in data.select(round_half_up(F.col("x"), 2)).collect()] == [
         1.01, 0.29, -1.01, None, None,
     ]
+    assert data.agg(max_exact(F.col("x"), 2)).first()[0] == 1.01
     assert data.agg(avg_exact(F.col("x"), 2)).first()[0] == 0.1
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_odd_numbers_are_null_or_whole_under_both_settings(spark, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    odd = ["1.0049999999", "NaN", "Infinity", "-Infinity", "1e13", "1e300", "x", None]
+    data = spark.createDataFrame([(t,) for t in odd], "x string")
+    rounded = [r[0] for r in data.select(round_half_up(F.col("x"), 2)).collect()]
+    assert rounded == [1.0, None, None, None, 1e13, None, None, None]
+    assert data.agg(avg_exact(F.col("x"), 2), max_exact(F.col("x"), 2)).first() == (5e12 + 0.5, 1e13)
+    losses = silver.cast_losses(data.withColumnRenamed("x", "discount"), {"discount": "double"})
+    assert losses.first().n_lost == 5
+    tiers = data.select(gold.deal_tier(finite(F.col("x"))), gold.deal_tier(F.col("x").try_cast("double")))
+    assert {tuple(r) for r in tiers.where("x in ('NaN', 'Infinity')").collect()} == {("BAIXA", "BAIXA")}
+
+
 def test_minor_units(spark):
     data = spark.createDataFrame([(1999,), (0,), (5,), (None,)], "x bigint")
     assert [r[0] for r in data.select(minor_to_major(F.col("x"))).collect()] == [

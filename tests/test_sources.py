@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from conftest import rows
 
 from pricetide.sources import landed
@@ -21,13 +23,35 @@ def test_deals_arrive_in_file_and_array_order(spark, tmp_path):
     write(tmp_path / "p2.json", DEALS[:1])
     write(tmp_path / "p1.json", DEALS)
     write(tmp_path / "p3.json", [])
-    deals = landed.read_deals(spark, str(tmp_path)).orderBy("ord1", "ord2").collect()
-    assert [(r.ord1[-7:], r.ord2, r.item_id) for r in deals] == [
-        ("p1.json", 0, "7"), ("p1.json", 1, None), ("p1.json", 2, None), ("p2.json", 0, "7"),
+    deals = landed.read_deals(spark, str(tmp_path), lines=False).orderBy("ord1", "ord2").collect()
+    assert [(r.ord1[-7:], r.item_id) for r in deals] == [
+        ("p1.json", "7"), ("p1.json", None), ("p1.json", None), ("p2.json", "7"),
     ]
     assert (deals[0].sale_price, deals[0].discount, deals[2].store_id) == ("9.99", "50.025013", "3")
 
 
+@pytest.mark.parametrize("text", ['[{"steamAppID": "1"}, {"steamAppID": "2"}', '[{"steamAppID": "1"}, 5]'])
+def test_a_damaged_file_stops_the_run(spark, tmp_path, text):
+    write(tmp_path / "good.json", DEALS)
+    write(tmp_path / "bad.json", text)
+    with pytest.raises(Exception, match="(?i)malformed|JSON"):
+        landed.read_deals(spark, str(tmp_path), lines=False).collect()
+
+
+def test_the_last_envelope_by_time_wins_and_dates_are_required(spark, tmp_path):
+    late, early = envelope({"steam_app_id": "7", "nome": "late"}), envelope({"steam_app_id": "7", "nome": "early"})
+    late["metadata"] |= {"timestamp_ingestao": "2026-01-01T09:00:00", "execution_id": "a"}
+    early["metadata"] |= {"timestamp_ingestao": "2026-01-01T06:00:00", "execution_id": "z"}
+    write(tmp_path / "in/1.json", late)
+    write(tmp_path / "in/2.json", early)
+    got = landed.envelope_records(landed.read_envelopes(spark, f"{tmp_path}/in"))
+    assert [r.name for r in got.orderBy("ord1", "ord2").collect()] == ["early", "late"]
+    early["metadata"]["data_ingestao"] = "soon"
+    write(tmp_path / "bad/1.json", early)
+    with pytest.raises(Exception, match="envelope without a date: soon"):
+        landed.envelope_records(landed.read_envelopes(spark, f"{tmp_path}/bad")).collect()
+
+
 def test_deal_lines_keep_their_order_over_splits(spark, conf, tmp_path):
     conf("spark.sql.files.maxPartitionBytes", "4096")
     many = [{"steamAppID": str(n), "storeID": "1"} for n in range(2000)]
