@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.llm.store import stored
-from pricetide.llm.words import mix, prefix_sums, span_hashes
+from pricetide.llm.words import mix, prefix_sums, rolling, span_hashes
 
 LENGTH = 200
 GRAM = 64
@@ -65,14 +65,14 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
         windows = min(_STRETCH, n - length + 1 - at)
         low, high = max(0, at - reach), min(n, at + windows + reach + length)
         sums = prefix_sums(data[low:high])
-        starts = np.arange(at - low, at - low + windows + reach)
-        grams = span_hashes(sums, starts, starts + gram)
-        keys = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
+        raw = rolling(sums, at - low, windows + reach, gram)
+        keys = (raw & ~_PLACE) | np.arange(len(raw), dtype=np.uint64)
         places = np.unique(sliding_min(keys, reach + 1) & _PLACE).astype(np.int64)
         pos = places + at
         begin, end = np.maximum(pos - reach, 0), np.minimum(pos + length, n)
         whole = span_hashes(sums, begin - low, end - low)
-        found.append((pos, grams[places], mix(whole + (pos - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
+        grams = mix(raw[places] + np.uint64(gram))
+        found.append((pos, grams, mix(whole + (pos - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
     if not found:
         none = np.zeros(0, np.uint64)
         return none.astype(np.int64), none, none
@@ -143,20 +143,34 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def _anchor_table(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def gathered() -> Iterator[pa.RecordBatch]:
+            names, pos, grams, whole = (np.concatenate(x) for x in zip(*held, strict=True))
+            for at in range(0, len(pos), 50_000):
+                own = slice(at, at + 50_000)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "gram": grams[own].view(np.int64),
+                        "whole": whole[own].view(np.int64),
+                        "row": names[own],
+                        "pos": pos[own].astype(np.int32),
+                    }
+                )
+
         for batch in batches:
             names = batch.column("row").to_pylist()
             for name, text in zip(names, batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 pos, grams, whole = anchors(text, length, gram)
-                for at in range(0, len(pos), 50_000):
-                    own = slice(at, at + 50_000)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "gram": grams[own].view(np.int64),
-                            "whole": whole[own].view(np.int64),
-                            "row": np.full(len(pos[own]), name, np.int64),
-                            "pos": pos[own].astype(np.int32),
-                        }
-                    )
+                held.append((np.full(len(pos), name, np.int64), pos, grams, whole))
+                size += len(pos)
+                if size >= 50_000:
+                    yield from gathered()
+                    held.clear()
+                    size = 0
+        if held:
+            yield from gathered()
 
     long = rows.where(F.octet_length("text") >= length).select("row", "text")
     return long.mapInArrow(run, "gram long, whole long, row long, pos int")
@@ -165,27 +179,28 @@ def _anchor_table(rows: DataFrame, length: int, gram: int) -> DataFrame:
 def _fragments(rows: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
     """(gram, large, row, pos, left, bytes) of the wanted anchors."""
     reach = length - gram
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def gathered() -> pa.RecordBatch:
+            columns = [pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["gram", "large", "row", "pos", "left", "bytes"])
+
         for batch in batches:
             names = batch.column("row").to_pylist()
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for name, text, places in zip(names, texts, batch.column("places").to_pylist(), strict=True):
-                for at in range(0, len(places), 10_000):
-                    own = places[at : at + 10_000]
-                    begin = [max(0, p["pos"] - reach) for p in own]
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "gram": pa.array([p["gram"] for p in own], pa.int64()),
-                            "large": pa.array([p["large"] for p in own], pa.bool_()),
-                            "row": pa.array([name] * len(own), pa.int64()),
-                            "pos": pa.array([p["pos"] for p in own], pa.int32()),
-                            "left": pa.array([p["pos"] - a for p, a in zip(own, begin, strict=True)], pa.int32()),
-                            "bytes": pa.array(
-                                [text[a : p["pos"] + length] for p, a in zip(own, begin, strict=True)], pa.binary()
-                            ),
-                        }
-                    )
+                for p in places:
+                    pos = p["pos"]
+                    begin = max(0, pos - reach)
+                    held.append((p["gram"], p["large"], name, pos, pos - begin, text[begin : pos + length]))
+                if len(held) >= 10_000:
+                    yield gathered()
+                    held.clear()
+        if held:
+            yield gathered()
 
     places = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "large", "pos")).alias("places"))
     schema = "gram long, large boolean, row long, pos int, left int, bytes binary"

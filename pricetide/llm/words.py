@@ -56,6 +56,12 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def rolling(sums: np.ndarray, at: int, n: int, width: int) -> np.ndarray:
+    """Unmixed hashes of the stretches of ``width`` bytes at ``n`` places from ``at``."""
+    inverse = _powers_to(len(sums))[1]
+    return (sums[at + width : at + width + n] - sums[at : at + n]) * inverse[at : at + n]
+
+
 def spans(data: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edges = np.zeros(len(data) + 2, np.int8)
     edges[1:-1] = ~parts[data]
