@@ -12,6 +12,7 @@ from pricetide.llm import (
     lookup_shards,
     lsh_forest,
     mixing,
+    oracle,
     stable_hash,
     suffix_automaton,
     token_frames,
@@ -100,4 +101,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": lookup_shards.oracle_sql(SHARDS, SLOTS)}
+    return oracle.oracle_sql(SHARDS, SLOTS)
