@@ -30,7 +30,7 @@ from pricetide.llm.words import SPACE, mix, shingle_set, word_hashes
 
 WIDTH = 5
 VALUES = 128
-REGION = 256
+REGION = 512
 #: (depth, orders): 1 - 0.75 ** depth, to the power of orders, is 5e-6 and 1e-6.
 LEVELS = ((4, 32), (7, 96))
 #: Least similarity of signatures that is looked at: 4.5 deviations under the threshold.
