@@ -28,7 +28,3 @@ def conf(spark):
     yield set_option
     for name, value in changed.items():
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from pricetide.operators import enrich, gold, silver
 from test_enrich import DEAL, DETAIL

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from pricetide import schemas
 from pricetide.operators.lineage import Run

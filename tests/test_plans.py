@@ -4,7 +4,7 @@ import re
 from datetime import date
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 
 from pricetide.sources import landed
 
