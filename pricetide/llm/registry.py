@@ -14,6 +14,7 @@ from pricetide.llm import (
     mixing,
     oracle,
     stable_hash,
+    stripes,
     suffix_automaton,
     token_frames,
     warc,
@@ -100,5 +101,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "times")
 
 
+@register
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stripes.collocations(table(spark, sf_dir, "documents"))
+
+
 def oracle_sql() -> dict[str, str]:
     return oracle.oracle_sql(SHARDS, SLOTS)
