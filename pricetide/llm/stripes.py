@@ -1,11 +1,11 @@
 """Phrase collocations by the stripes pattern.
 
-A stripe is the counter of the words that follow one prefix: every prefix of one to
+A stripe is the counter of the words that follow one prefix: every prefix of up to
 three words keys a stripe, and stripes of the same prefix are merged entry by entry.
-An entry is the count of a phrase one word longer. The sum of a stripe is the count
-of its prefix, because what is not worth an entry of its own (rare followers, ends of
-pieces) is counted in one entry without a word. Its largest entry says whether a longer
-phrase swallows the prefix. All numbers of a phrase are read from stripes.
+An entry is the count of a phrase one word longer, so the count of a prefix stands in
+the stripe of the prefix without its last word, down to the empty prefix, whose stripe
+counts all words. The largest entry of a stripe says whether a longer phrase swallows the
+prefix. All numbers of a phrase are read from stripes.
 
 Two passes over the texts:
 
@@ -40,8 +40,8 @@ LONGEST = 4
 #: let fewer rare runs through to the second pass.
 SLOT_BITS = 27
 _LOW_BITS = 19  # slots of one merge group: 512 Ki counters
-#: Segments of a stripe.
-SEGMENTS = 64
+#: Segments of a stripe, by the words of its prefix.
+SEGMENTS = (64, 8, 1, 1)
 #: Bytes of text that are worked on at once; a text is cut only where a piece ends.
 STRETCH = 1 << 23
 UNKNOWN_LANG = "und"
@@ -86,6 +86,12 @@ class Words:
         seeds = np.array([xxhash.xxh64_intdigest(x.encode()) for x in self.names], np.uint64)
         self.hashes = mix(np.add.outer(seeds, hashes).ravel())
 
+    def lang_of(self, number: np.ndarray) -> np.ndarray:
+        return number // max(1, len(self.texts))
+
+    def texts_of(self, number: np.ndarray) -> pa.Array:
+        return self.texts.take(pa.array(number % max(1, len(self.texts)))).cast(pa.large_string())
+
     def runs(self, k: int) -> np.ndarray:
         """The places where a run of ``k`` words of one piece starts."""
         n = len(self.number) - k + 1
@@ -138,7 +144,7 @@ def _slot_counts(least: int):
                 if not len(slots):
                     continue
                 bounds = np.searchsorted(slots, edges)
-                low = (slots & np.uint32((1 << _LOW_BITS) - 1)).astype("<u4")
+                low = (slots & np.uint32((1 << _LOW_BITS) - 1)).astype(np.int64)
                 n = np.minimum(n, least).astype(_counter(least))
                 parts = np.flatnonzero(np.diff(bounds))
                 cut = [(bounds[p], bounds[p + 1]) for p in parts.tolist()]
@@ -146,7 +152,7 @@ def _slot_counts(least: int):
                     {
                         "k": pa.array([k] * len(parts), pa.int32()),
                         "part": pa.array(parts, pa.int32()),
-                        "low": pa.array([low[a:b].tobytes() for a, b in cut], pa.binary()),
+                        "low": pa.array([_packed(low[a:b]) for a, b in cut], pa.binary()),
                         "n": pa.array([n[a:b].tobytes() for a, b in cut], pa.binary()),
                     }
                 )
@@ -154,6 +160,15 @@ def _slot_counts(least: int):
     return run
 
 
+def _packed(rising: np.ndarray) -> bytes:
+    """Steps between rising numbers, all first bytes first: most others are zero and compress well."""
+    return np.diff(rising, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4"), dtype=np.int64)
+
+
 def _counter(least: int) -> str:
     """Type of a count that need not go beyond the least one."""
     return "<u1" if least < 1 << 8 else "<u4"
@@ -178,7 +193,7 @@ def _passing(least: int):
                 if (k, part) != now:
                     yield from done()
                     now, counters = (k, part), np.zeros(1 << _LOW_BITS, np.int64)
-                at = np.frombuffer(low, "<u4")
+                at = _unpacked(low)
                 # saturating: what has reached the least count stays there
                 counters[at] = np.minimum(counters[at] + np.frombuffer(n, _counter(least)), least)
         yield from done()
@@ -197,40 +212,36 @@ def passing_slots(docs: DataFrame, least: int) -> dict[tuple[int, int], bytes]:
     return {(r.k, r.part): bytes(r.bits) for r in found.collect()}
 
 
-_unpacked: dict[str, list[np.ndarray]] = {}
+_known_bits: dict[str, list[np.ndarray]] = {}
 
 
 def _bits_of(name: str, packed: dict[tuple[int, int], bytes]) -> list[np.ndarray]:
     """The bits of each length, unpacked once in each worker."""
-    if name not in _unpacked:
+    if name not in _known_bits:
         width = 1 << (_LOW_BITS - 3)
         found = [np.zeros(1 << (SLOT_BITS - 3), np.uint8) for _ in range(LONGEST + 1)]
         for (k, part), bits in packed.items():
             found[k][part * width : (part + 1) * width] = np.frombuffer(zlib.decompress(bits), np.uint8)
-        _unpacked.clear()
-        _unpacked[name] = found
-    return _unpacked[name]
+        _known_bits.clear()
+        _known_bits[name] = found
+    return _known_bits[name]
 
 
 def _joined_text(words: Words, prefix: list[np.ndarray]) -> pa.Array:
-    size = max(1, len(words.texts))
-    columns = [pc.take(words.texts, pa.array(p % size)) for p in prefix]
-    if len(columns) > 1:
-        columns = [pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()))]
-    return columns[0].cast(pa.large_string())
+    columns = [words.texts_of(p) for p in prefix]
+    return pc.binary_join_element_wise(*columns, pa.scalar(" ", pa.large_string())) if len(columns) > 1 else columns[0]
 
 
 def _stripes_of(shared, name: str):
-    """Stripes of each stretch: (lang, prefix, segment, next, n), next '' for what has no entry."""
+    """Stripes of each stretch: (lang, prefix, segment, next, n).
+
+    In the stripe of the empty prefix, next '' counts the words without an entry.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _bits_of(name, shared.value)
         for words in _stretches(batches):
             n_words = len(words.number)
-            totals = np.bincount(words.lang, minlength=len(words.names))
-            # the stripe of the empty prefix: only its sum is wanted
-            yield _rows(words.names, [""] * len(words.names), [0] * len(words.names),
-                        [[""]] * len(words.names), [[int(t)] for t in totals])
             often = np.zeros((LONGEST + 2, n_words + LONGEST), bool)
             for k in range(1, LONGEST + 1):
                 places = words.runs(k)
@@ -239,44 +250,55 @@ def _stripes_of(shared, name: str):
                 slots = words.slots(places, k)
                 hit = (bits[k][slots >> np.uint32(3)] >> (slots & np.uint32(7)).astype(np.uint8)) & 1
                 often[k, places[hit == 1]] = True
+            known = often[1, :n_words]
+            rest = np.bincount(words.lang[~known], minlength=len(words.names))
+            used, n = np.unique(words.number[known], return_counts=True)
+            yield from _striped(words, 0, words.lang_of(used), used, n, rest)
             number = np.append(words.number, np.zeros(LONGEST, np.int64))
             size = len(words.hashes) + 1
             key = number.copy()
             for k in range(1, LONGEST):
-                places = np.flatnonzero(often[k, :n_words])
+                places = np.flatnonzero(often[k + 1, :n_words])
                 if not len(places):
                     break
                 # prefixes of k words, numbered anew: exact, and small enough to be joined to a word
                 if k > 1:
                     key[places] = key[places] * size + number[places + k - 1]
                 _, first, own = np.unique(key[places], return_index=True, return_inverse=True)
-                follower = np.where(often[k + 1, places], number[places + k] + 1, 0)
-                pairs, n = np.unique(own * size + follower, return_counts=True)
-                yield from _striped(words, k, places[first], pairs // size, pairs % size - 1, n)
+                pairs, n = np.unique(own * size + number[places + k], return_counts=True)
+                yield from _striped(words, k, pairs // size, pairs % size, n, places[first])
                 key[places] = own
 
     return run
 
 
 def _striped(
-    words: Words, k: int, first: np.ndarray, own: np.ndarray, follower: np.ndarray, n: np.ndarray
+    words: Words, k: int, own: np.ndarray, follower: np.ndarray, n: np.ndarray, of: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """Entries as stripes, one row for each prefix and segment."""
-    segment = np.where(follower < 0, 0, words.hashes[np.maximum(follower, 0)] % np.uint64(SEGMENTS)).astype(np.int64)
+    """Entries as stripes, one row for each prefix and segment.
+
+    ``own`` numbers the prefixes, and ``of`` has the place where each is; for the empty
+    one, ``own`` is the language and ``of`` how many of its words have no entry.
+    """
+    texts = words.texts_of(follower)
+    segment = (words.hashes[follower] % np.uint64(SEGMENTS[k])).astype(np.int64)
+    if k:
+        prefix, lang = _joined_text(words, [words.number[of + i] for i in range(k)]), words.lang[of]
+    else:
+        rest = np.flatnonzero(of)
+        own, n = np.append(own, rest), np.append(n, of[rest])
+        segment = np.append(segment, np.zeros(len(rest), np.int64))
+        texts = pa.concat_arrays([texts, pa.array([""] * len(rest), pa.large_string())])
+        prefix, lang = pa.array([""] * len(words.names), pa.large_string()), np.arange(len(words.names))
     order = np.lexsort((segment, own))
-    own, follower, n, segment = own[order], follower[order], n[order], segment[order]
-    starts = np.flatnonzero(np.diff(own * SEGMENTS + segment, prepend=-1))
-    prefix = _joined_text(words, [words.number[first + i] for i in range(k)])
+    own, n, segment, texts = own[order], n[order], segment[order], texts.take(pa.array(order))
+    starts = np.flatnonzero(np.diff(own * SEGMENTS[0] + segment, prepend=-1))
     names = pa.array(words.names, pa.large_string())
-    texts = pc.take(
-        pa.concat_arrays([words.texts, pa.array([b""], pa.large_binary())]),
-        pa.array(np.where(follower < 0, len(words.texts), follower % max(1, len(words.texts)))),
-    ).cast(pa.large_string())
     offsets = pa.array(np.append(starts, len(own)), pa.int64())
     whole = pa.RecordBatch.from_arrays(
         [
-            pc.take(names, pa.array(words.lang[first][own[starts]])),
-            pc.take(prefix, pa.array(own[starts])),
+            names.take(pa.array(lang[own[starts]])),
+            prefix.take(pa.array(own[starts])),
             pa.array(segment[starts], pa.int32()),
             pa.LargeListArray.from_arrays(offsets, texts),
             pa.LargeListArray.from_arrays(offsets, pa.array(n, pa.int64())),
@@ -286,28 +308,15 @@ def _striped(
     kinds = [pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
     for at in range(0, whole.num_rows, 1 << 14):
         piece = whole.slice(at, 1 << 14)
-        yield pa.RecordBatch.from_arrays(
-            [c.cast(t) for c, t in zip(piece.columns, kinds, strict=True)], piece.schema.names
-        )
-
-
-def _rows(lang, prefix, segment, following, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "lang": pa.array(lang, pa.string()),
-            "prefix": pa.array(prefix, pa.string()),
-            "segment": pa.array(segment, pa.int32()),
-            "next": pa.array(following, pa.list_(pa.string())),
-            "n": pa.array(n, pa.list_(pa.int64())),
-        }
-    )
+        columns = [c.cast(t) for c, t in zip(piece.columns, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, piece.schema.names)
 
 
 def stripes(docs: DataFrame, least: int = 30) -> DataFrame:
     """(lang, prefix, segment, next, n): the merged entries of all stripes.
 
-    Entries of ``least`` or more occurrences are there and exact, and so is the sum of
-    every stripe whose prefix occurs as often. The entry '' holds the rest of a stripe.
+    Entries of ``least`` or more occurrences are there and exact. The entry '' of the
+    empty prefix counts the words without an entry, so its stripe adds up to all words.
     """
     bits = passing_slots(docs, least)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
@@ -342,16 +351,14 @@ def collocations(
     Only the columns text and lang are read.
     """
     entries = stored(stripes(docs, least), "stripes")
-    sums = entries.groupBy("lang", "prefix").agg(
-        F.sum("n").alias("total"), F.max(F.when(F.col("next") != "", F.col("n"))).alias("longest")
-    )
-    kept = stored(sums.where((F.col("total") >= least) | (F.col("prefix") == "")), "sums")
-    counts = kept.where("prefix <> ''").select("lang", F.col("prefix").alias("part"), F.col("total").alias("f"))
-    texts = kept.where("prefix = ''").select("lang", F.col("total").alias("words"))
-    phrases = entries.where((F.col("prefix") != "") & (F.col("next") != "") & (F.col("n") >= least)).select(
-        "lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("n").alias("a")
+    texts = entries.where("prefix = ''").groupBy("lang").agg(F.sum("n").alias("words"))
+    phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
+    often = entries.where((F.col("next") != "") & (F.col("n") >= least)).select(
+        "lang", "prefix", phrase.alias("phrase"), F.col("n").alias("a")
     )
-    phrases = stored(phrases.withColumn("w", _words("phrase")), "phrases")
+    often = stored(often.withColumn("w", _words("phrase")), "phrases")
+    counts = often.where(F.size("w") < LONGEST).select("lang", F.col("phrase").alias("part"), F.col("a").alias("f"))
+    phrases = often.where(F.size("w") > 1).drop("prefix")
 
     cuts = phrases.select("lang", "phrase", "a", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("k"))
     parted = cuts.select(
@@ -369,7 +376,7 @@ def collocations(
 
     inner = phrases.where(F.size("w") > 2)
     before = inner.select("lang", _part(F.col("w"), 2, F.size("w") - 1).alias("phrase"), F.col("a").alias("longest"))
-    after = kept.where(F.col("longest") >= least).select("lang", F.col("prefix").alias("phrase"), "longest")
+    after = often.where("prefix <> ''").groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("a").alias("longest"))
     longer = before.unionByName(after).groupBy("lang", "phrase").agg(F.max("longest").alias("longer"))
     few, of = swallow
     gone = F.lit(of).cast("decimal(18,0)") * F.col("longer") >= F.lit(few).cast("decimal(18,0)") * F.col("a")

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,10 +70,10 @@ def test_all_phrases_and_numbers(spark, seed, least):
     assert got and got == brute_force(rows, least, 150)
 
 
-def test_texts_are_cut_at_ends_of_pieces(spark, monkeypatch):
+def test_texts_are_cut_at_ends_of_pieces(monkeypatch):
     monkeypatch.setattr(stripes, "STRETCH", 40)
     rows = [("en", "in the end of the day. " * 9), ("en", "in the end of it all, in the end of the day"), ("en", "x")]
-    batch = spark.createDataFrame(rows, "lang string, text string").toArrow().to_batches()[0]
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] for r in rows], "text": [r[1] for r in rows]})
     words = list(stripes._stretches(iter([batch])))
     assert len(words) >= 4 and sum(len(w.number) for w in words) == 9 * 6 + 12 + 1
     assert sum(int((~w.joined).sum()) for w in words) == 9 + 2 + 1  # pieces stay whole
