@@ -68,10 +68,73 @@ FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang),
+grams AS MATERIALIZED (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM lists, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+  GROUP BY 1, 2, 3),
+picked AS MATERIALIZED (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, a, c, array_to_string(list_slice(w, 1, c), ' ') AS head,
+    array_to_string(list_slice(w, c + 1, k), ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM picked)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.c, x.f AS l, y.f AS r,
+    CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = c.head
+    JOIN grams y ON y.lang = c.lang AND y.phrase = c.tail),
+least AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS o FROM scored)
+  WHERE o = 1),
+longer AS (
+  SELECT lang, part, max(a) AS b FROM (
+    SELECT lang, a, array_to_string(list_slice(w, 1, k - 1), ' ') AS part FROM picked
+    UNION ALL SELECT lang, a, array_to_string(list_slice(w, 2, k), ' ') FROM picked) GROUP BY lang, part),
+ranked AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank,
+    s.phrase, s.a, l, r, score
+  FROM least s LEFT JOIN longer g ON g.lang = s.lang AND g.part = s.phrase
+  WHERE g.b IS NULL OR CAST(100 AS HUGEINT) * g.b < CAST(80 AS HUGEINT) * s.a)
+SELECT r.lang, rank, phrase, a, l, r.r, t.n, score FROM ranked r JOIN totals t ON t.lang = r.lang
+WHERE rank <= 2000
+"""
+
+SEARCH = f"""
+WITH docs AS (SELECT * FROM (SELECT doc_id, {_WORDS} AS w FROM documents) WHERE len(w) > 0),
+total AS (SELECT CAST(count(*) AS BIGINT) AS c, CAST(sum(len(w)) AS BIGINT) AS l FROM docs),
+tf AS MATERIALIZED (
+  SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM docs) GROUP BY 1, 2, 3),
+asked AS (
+  SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest({_WORDS}) AS t FROM benchmark) GROUP BY 1, 2),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+weighed AS (
+  SELECT item_id, t, q * CAST(floor(1000 * ln(CAST(2 * c + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM asked JOIN df USING (t), total),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf
+    + 12 * (75 + (25 * CAST(n AS BIGINT) * c) // l)))) AS BIGINT) AS score
+  FROM weighed JOIN tf USING (t), total GROUP BY 1, 2),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql(shards: int, slots: int) -> dict[str, str]:
     return {
         "op3_sharding": lookup_shards.oracle_sql(shards, slots),
         "op4_warc": WARC,
         "op6_embedding_near_dedup": VECTORS,
         "op7_decontamination": DECONTAMINATION,
+        "op11_collocations": PHRASES,
+        "op13_ranked_search": SEARCH,
     }

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pricetide.llm import (
+    best_position,
     column_bwt,
     edit_counts,
     lookup_shards,
     lsh_forest,
     mixing,
+    nn_descent,
     oracle,
     stable_hash,
     stripes,
@@ -106,5 +108,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripes.collocations(table(spark, sf_dir, "documents"))
 
 
+@register
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def oracle_sql() -> dict[str, str]:
     return oracle.oracle_sql(SHARDS, SLOTS)
