@@ -51,9 +51,7 @@ def run_bronze(
             landed.read_stores(spark, f"{landing}/stores", lines), ["ord1", "ord2"]
         )
         lake.replace_table(names, f"{root}/bronze/stores/{snapshot}")
-        labels = spark.read.schema("store_id string, store_name string").parquet(
-            f"{root}/bronze/stores/{snapshot}"
-        )
+        labels = tables.read_table(spark, f"{root}/bronze/stores/{snapshot}")
     else:
         labels = enrich.default_stores(spark)
     last = dedupe.keep_last(
@@ -64,11 +62,7 @@ def run_bronze(
         dedupe.ARRIVAL,
     ).drop(*dedupe.ARRIVAL, "snapshot_date")
     lake.replace_table(last, f"{root}/bronze/details/{snapshot}")
-    details = (
-        spark.read.schema(last.schema)
-        .parquet(f"{root}/bronze/details/{snapshot}")
-        .withColumn("snapshot_date", day)
-    )
+    details = tables.read_table(spark, f"{root}/bronze/details/{snapshot}").withColumn("snapshot_date", day)
 
     records = enrich.enriched_records(deals, details, labels, on=dedupe.ITEM_KEYS)
     accepted = lake.write_bronze(

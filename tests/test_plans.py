@@ -7,7 +7,6 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from catalog import queries as q
 from catalog import views
 from pricetide.operators import enrich, gold, silver
@@ -31,9 +30,9 @@ def run_plan(df):
     return plan(df)
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - WRITERS))
+@pytest.mark.parametrize("key", sorted(set(q.REGISTRY) - WRITERS))
 def test_no_python_no_cross_join_no_single_partition_window(spark, key):
-    text = plan(entry.queries()[key](spark, SF))
+    text = plan(q.REGISTRY[key](spark, SF))
     for node in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text, node
     if "Window " in text:
