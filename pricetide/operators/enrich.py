@@ -113,25 +113,30 @@ def rejection_audit(
 ) -> DataFrame:
     """Per snapshot: deals received, rejected by reason, and accepted.
 
-    A deal counts once, in this order: missing key, repeated key, failed lookup,
-    accepted. Deals are first counted per key, so neither the missing key nor a
-    hot item reaches one task row by row, and the lookup sees each key once.
+    A deal counts once, in this order: unreadable (where ``deals`` keeps such records with
+    their text in ``corrupt``), missing key, repeated key, failed lookup, accepted. Deals
+    are first counted per key, so neither the missing key nor a hot item reaches one task
+    row by row, and the lookup sees each key once.
     """
-    key = F.when(F.col("item_id") != "", F.col("item_id"))
+    kept = "corrupt" in deals.columns
+    bad = F.col("corrupt").isNotNull() if kept else F.lit(False)
+    key = F.when((F.col("item_id") != "") & ~bad, F.col("item_id"))
     per_key = (
-        deals.select("snapshot_date", key.alias("item_id"))
-        .groupBy(*ITEM_KEYS)
+        deals.select("snapshot_date", key.alias("item_id"), bad.alias("bad"))
+        .groupBy(*ITEM_KEYS, "bad")
         .agg(F.count("*").alias("n"))
     )
     found = details.filter(F.col("success")).select(*on, F.lit(True).alias("found"))
-    keyed = F.col("item_id").isNotNull()
+    keyed, bad = F.col("item_id").isNotNull(), F.col("bad")
     total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
+    unread = [total(F.when(bad, F.col("n"))).alias("n_unreadable")] if kept else []
     return (
         per_key.join(found, list(on), "left")
         .groupBy("snapshot_date")
         .agg(
             total(F.col("n")).alias("n_received"),
-            total(F.when(~keyed, F.col("n"))).alias("n_missing_key"),
+            *unread,
+            total(F.when(~keyed & ~bad, F.col("n"))).alias("n_missing_key"),
             total(F.when(keyed, F.col("n") - 1)).alias("n_duplicate"),
             F.count_if(keyed & F.col("found").isNull()).alias("n_lookup_failed"),
             F.count_if(F.col("found")).alias("n_accepted"),

@@ -40,6 +40,8 @@ def stamp_lineage(df: DataFrame, run: Run, layer: str) -> DataFrame:
 def run_manifest(audit: DataFrame, run: Run, layer: str, rejections: bool = False) -> DataFrame:
     """One row per snapshot: lineage and totals of the run, from its audit."""
     rejected = ("n_missing_key", "n_duplicate", "n_lookup_failed") if rejections else ()
+    if rejections and "n_unreadable" in audit.columns:
+        rejected = ("n_unreadable", *rejected)
     totals = audit.select(
         "snapshot_date",
         F.col("n_received").alias("n_offers_received"),

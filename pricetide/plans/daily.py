@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide import schemas
-from pricetide.operators import conform, dedupe, enrich, gold, lineage, silver
+from pricetide.operators import checks, conform, dedupe, enrich, gold, lineage, silver
 from pricetide.sinks import jdbc, lake
-from pricetide.sources import landed, tables
+from pricetide.sinks.buckets import write_buckets
+from pricetide.sinks.clusters import write_clustered
+from pricetide.sources import landed, ledger, tables
 
 
 def run_bronze(
@@ -28,42 +30,70 @@ def run_bronze(
     stores: bool = True,
     lines: bool = True,
     detail_lines: bool = True,
+    bad_limit: int | None = None,
+    only_new: bool = False,
 ) -> dict[str, int]:
     """Landed deals, stores and details of one snapshot to raw deals and records.
 
     ``stores=False`` is for a run whose store list could not be fetched: the
     fixed dimension takes its place. ``lines`` says deals and stores are JSON
     lines, ``detail_lines`` that details are one map per line, not per file.
+
+    Records that cannot be read are set aside in ``bronze/quarantine`` with their text and
+    file, and counted by the audit; more than ``bad_limit`` of them refuse the day.
+    The files taken in are entered in ``bronze/ledger`` at the end. With ``only_new`` a run
+    that finds all landed files there, unchanged, does nothing; any other run makes the
+    snapshot anew from all its files, so none is skipped or counted twice.
     """
     day = F.lit(snapshot).cast("date")
-    landed_deals = landed.read_deals(spark, f"{landing}/deals", lines)
+    names = ("deals", "details", "stores") if stores else ("deals", "details")
+    folders = {name: f"{landing}/{name}" for name in names}
+    listed = ledger.landed_files(spark, folders).collect()
+    files = spark.createDataFrame(listed, ledger.FILES)
+    if only_new:
+        known = ledger.entered(spark, f"{root}/bronze/ledger", snapshot)
+        if ledger.pending(files, known).isEmpty() and ledger.gone(files, known).isEmpty():
+            return {"deals": 0, "records": 0}
+    listing = lambda name: ledger.paths(listed, name) or folders[name]
+
+    landed_deals = landed.read_deals(spark, listing("deals"), lines, keep_bad=True)
     stamped = lineage.stamp_lineage(landed_deals.withColumn("snapshot_date", day), run, "bronze_raw")
     raw = lake.write_bronze(stamped, f"{root}/bronze/deals", [snapshot])
-    # Parsed once: records and audit read what was written.
-    deals = tables.read_snapshot(
+    # Parsed once: records, audit and quarantine read what was written.
+    all_deals = tables.read_snapshot(
         spark, f"{root}/bronze/deals", snapshot, stamped.schema, "json"
     ).select(*landed_deals.columns, "snapshot_date")
+    deals = landed.readable(all_deals)
+    bad = landed.unreadable(all_deals, "deals")
 
     # Dimensions are written first: the joins then see plain scans of known size,
     # which Spark broadcasts if small and splits on skew if not.
     if stores:
-        names = enrich.store_dimension(
-            landed.read_stores(spark, f"{landing}/stores", lines), ["ord1", "ord2"]
-        )
-        lake.replace_table(names, f"{root}/bronze/stores/{snapshot}")
+        pairs = landed.read_stores(spark, listing("stores"), lines, keep_bad=True)
+        landed_stores = f"{root}/bronze/landed_stores/{snapshot}"
+        lake.replace_table(pairs, landed_stores)
+        pairs = tables.read_table(spark, landed_stores)
+        bad = bad.unionByName(landed.unreadable(pairs, "stores"))
+        labelled = enrich.store_dimension(landed.readable(pairs), ["ord1", "ord2"])
+        lake.replace_table(labelled, f"{root}/bronze/stores/{snapshot}")
         labels = tables.read_table(spark, f"{root}/bronze/stores/{snapshot}")
     else:
         labels = enrich.default_stores(spark)
+    landed_details = f"{root}/bronze/landed_details/{snapshot}"
+    lake.replace_table(landed.read_details(spark, listing("details"), detail_lines, keep_bad=True), landed_details)
+    parsed = tables.read_table(spark, landed_details)
+    bad = bad.unionByName(landed.unreadable(parsed, "details"))
     last = dedupe.keep_last(
-        landed.read_details(spark, f"{landing}/details", detail_lines).withColumn(
-            "snapshot_date", day
-        ),
-        dedupe.ITEM_KEYS,
-        dedupe.ARRIVAL,
+        landed.readable(parsed).withColumn("snapshot_date", day), dedupe.ITEM_KEYS, dedupe.ARRIVAL
     ).drop(*dedupe.ARRIVAL, "snapshot_date")
     lake.replace_table(last, f"{root}/bronze/details/{snapshot}")
     details = tables.read_table(spark, f"{root}/bronze/details/{snapshot}").withColumn("snapshot_date", day)
 
+    aside = lineage.stamp_lineage(bad.withColumn("snapshot_date", day), run, "bronze_raw")
+    n_bad = lake.replace_snapshots(aside, f"{root}/bronze/quarantine", [snapshot]).rows
+    if bad_limit is not None and n_bad > bad_limit:
+        raise lake.Refused(f"{snapshot}: {n_bad} records cannot be read, {bad_limit} may")
+
     records = enrich.enriched_records(deals, details, labels, on=dedupe.ITEM_KEYS)
     accepted = lake.write_bronze(
         lineage.stamp_lineage(records.drop(*dedupe.ARRIVAL), run, "bronze_enriched"),
@@ -71,27 +101,52 @@ def run_bronze(
         [snapshot],
         fmt="parquet",
     )
-    audit = enrich.rejection_audit(deals, details, on=dedupe.ITEM_KEYS)
+    audit = enrich.rejection_audit(all_deals, details, on=dedupe.ITEM_KEYS)
     manifest = lineage.run_manifest(audit, run, "bronze_enriched", rejections=True)
     lake.replace_snapshots(manifest, f"{root}/bronze/manifest", [snapshot])
-    return {"deals": raw.rows, "records": accepted.rows}
+    taken = lineage.stamp_lineage(files.withColumn("snapshot_date", day), run, "bronze_raw")
+    lake.replace_snapshots(taken, f"{root}/bronze/ledger", [snapshot])
+    return {"deals": raw.rows, "records": accepted.rows} | ({"unreadable": n_bad} if n_bad else {})
 
 
 def import_envelopes(
-    spark: SparkSession, path: str, root: str, run: lineage.Run, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    root: str,
+    run: lineage.Run,
+    multi_line: bool = True,
+    keep_bad: bool = False,
 ) -> lake.Written:
-    """Take over existing enriched documents: each date they name is replaced."""
-    found = landed.envelope_records(landed.read_envelopes(spark, path, multi_line))
+    """Take over existing enriched documents: each date they name is replaced.
+
+    A document without a date stops the run, or with ``keep_bad`` goes to
+    ``bronze/quarantine_envelopes`` under the date of the run.
+    """
+    envelopes = landed.read_envelopes(spark, path, multi_line)
+    if keep_bad:
+        day = F.to_date(F.lit(run.ingested_at))
+        aside = landed.undated_envelopes(envelopes).withColumn("snapshot_date", day)
+        stamped = lineage.stamp_lineage(aside, run, "bronze_enriched")
+        lake.replace_snapshots(stamped, f"{root}/bronze/quarantine_envelopes", [run.ingested_at[:10]])
+    found = landed.envelope_records(envelopes, keep_bad)
     records = enrich.first_deals(found).drop(*dedupe.ARRIVAL)
     stamped = lineage.stamp_lineage(records, run, "bronze_enriched")
     return lake.write_bronze(stamped, f"{root}/bronze/records", fmt="parquet")
 
 
 def run_silver(
-    spark: SparkSession, root: str, snapshots: Sequence[str], processed_at: str
+    spark: SparkSession,
+    root: str,
+    snapshots: Sequence[str],
+    processed_at: str,
+    buckets: int | None = None,
 ) -> dict[str, int]:
     """Records to items and bridges. Records are unique, so nothing is shuffled
-    but the rows of a date towards its files."""
+    but the rows of a date towards its files.
+
+    With ``buckets`` the tables are dealt by item instead, which costs one exchange each
+    and spares those of every join of items and bridges.
+    """
     records = tables.read_snapshot(
         spark, f"{root}/bronze/records", snapshots, schemas.BRONZE_RECORDS
     )
@@ -100,6 +155,11 @@ def run_silver(
         "tags": silver.tag_bridge(records, processed_at, unique_records=True),
         "makers": silver.maker_bridge(records, processed_at, unique_records=True),
     }
+    if buckets:
+        return {
+            name: write_buckets(df, f"{root}/silver/{name}", snapshots, buckets).rows
+            for name, df in outputs.items()
+        }
     return {
         name: lake.replace_snapshots(df, f"{root}/silver/{name}", snapshots).rows
         for name, df in outputs.items()
@@ -121,15 +181,22 @@ def run_gold(spark: SparkSession, root: str, snapshots: Sequence[str]) -> dict[s
         spark, f"{root}/bronze/records", snapshots, schemas.BRONZE_RECORDS
     )
     outputs = {
-        "price_history": gold.price_history(items, unique_items=True),
         "offers": gold.offers(items, unique_items=True),
         "rank_makers": gold.rank_makers_of_records(records),
         "rank_tags": gold.rank_tags_of_records(records),
     }
-    return {
+    written = {
         name: lake.replace_snapshots(df, f"{root}/gold/{name}", snapshots).rows
         for name, df in outputs.items()
     }
+    # one item is looked up over all dates: its rows are kept together, and are one a date
+    history = write_clustered(
+        gold.price_history(items, unique_items=True),
+        f"{root}/gold/price_history",
+        snapshots,
+        checks=[checks.unique(*schemas.UNIQUE_KEYS["price_history"])],
+    )
+    return {"price_history": history.rows} | written
 
 
 def run_load(
@@ -184,6 +251,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument(
         "--detail-files", action="store_true", help="details are one map per file, not per line"
     )
+    parser.add_argument("--bad-limit", type=int, help="unreadable records that a bronze day may have")
+    parser.add_argument("--only-new", action="store_true", help="skip days whose landed files are all taken in")
+    parser.add_argument("--buckets", type=int, help="deal the silver tables into buckets by item")
     parser.add_argument("--url")
     parser.add_argument("--driver", default=jdbc.Target.driver)
     parser.add_argument("--property", action="append", default=[], help="name=value for JDBC")
@@ -207,6 +277,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
                 stores=not given.default_stores,
                 lines=not given.arrays,
                 detail_lines=not given.detail_files,
+                bad_limit=given.bad_limit,
+                only_new=given.only_new,
             )
             for day in given.snapshot
         }
@@ -214,7 +286,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         run = lineage.Run(given.run_id, given.at, sources=("envelopes",))
         done = {"records": import_envelopes(spark, given.landing, given.root, run).rows}
     elif given.step == "silver":
-        done = run_silver(spark, given.root, given.snapshot, given.at)
+        done = run_silver(spark, given.root, given.snapshot, given.at, given.buckets)
     elif given.step == "gold":
         done = run_gold(spark, given.root, given.snapshot)
     else:

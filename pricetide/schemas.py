@@ -154,6 +154,7 @@ BRONZE_RECORDS = _struct(
 )
 BRONZE_MANIFEST = _struct(
     n_offers_received=LongType(),
+    n_unreadable=LongType(),
     n_missing_key=LongType(),
     n_duplicate=LongType(),
     n_lookup_failed=LongType(),
@@ -162,6 +163,17 @@ BRONZE_MANIFEST = _struct(
     **_LINEAGE,
     snapshot_date=DateType(),
 )
+QUARANTINE = _struct(
+    source=StringType(), file=StringType(), text=StringType(), **_LINEAGE, snapshot_date=DateType()
+)
+LEDGER = _struct(
+    source=StringType(),
+    path=StringType(),
+    size=LongType(),
+    modified=TimestampType(),
+    **_LINEAGE,
+    snapshot_date=DateType(),
+)
 _ITEM_PRICES = dict(
     item_id=StringType(),
     name=StringType(),

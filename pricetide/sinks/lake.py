@@ -40,6 +40,7 @@ def replace_snapshots(
     key: str = PARTITION,
     spread: bool | None = None,
     checks: Iterable[Check] = (),
+    before: Callable[[DataFrame, str], None] | None = None,
     **options,
 ) -> Written:
     """Replace whole snapshots of the table at ``root``; other dates stay.
@@ -53,7 +54,8 @@ def replace_snapshots(
     ``spread`` sends the rows of one date together before writing: few files per
     date, and a date too large for one task is split by the adaptive rebalance.
     By default that shuffle is left out when exactly one snapshot is named,
-    since then every task has one directory to write to.
+    since then every task has one directory to write to. ``before`` may write more into
+    the folder of the staged rows before they are published.
     """
     snapshots = [str(d) for d in snapshots]
     if spread is None:
@@ -74,7 +76,10 @@ def replace_snapshots(
     schema = StructType([f for f in df.schema.fields if f.name != key] + [df.schema[key]])
     spark = df.sparkSession
     if dates:
-        audit(spark.read.format(fmt).schema(schema).load(f"{root}/{folder}"), checks, f"{root}/{folder}")
+        staged = spark.read.format(fmt).schema(schema).load(f"{root}/{folder}")
+        audit(staged, checks, f"{root}/{folder}")
+        if before is not None:
+            before(staged, f"{root}/{folder}")
     after = show_parts(spark, root, {d: f"{folder}/{key}={d}" for d in dates}, {*snapshots, *dates}, schema, fmt, key)
     return Written(found["rows"], tuple(date.fromisoformat(d) for d in dates), after.version)
 
