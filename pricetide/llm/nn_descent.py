@@ -24,11 +24,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.stable_hash import vectors
 from pricetide.llm.store import fresh_path, stored
+from pricetide.llm.words import mix
 
 #: Neighbours a node keeps, and links it takes back from nodes that have it as neighbour.
 NEIGHBOURS, BACKWARD = 32, 32
@@ -40,9 +41,11 @@ SAMPLE, TOLD = 12, 6
 #: Share of neighbours that change in the last round, and the most rounds.
 SETTLED, ROUNDS = 0.05, 8
 #: Nodes of a beam, nodes expanded in a hop, nodes to enter at, and their sample.
-BEAM, EXPANDED, ENTRIES, PIVOTS = 256, 64, 16, 1_024
+BEAM, EXPANDED, ENTRIES, PIVOTS = 256, 128, 16, 1_024
 
-_GRAPH = "node long, ids array<long>, far array<float>, new array<boolean>"
+_DRAWS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_LISTS = "node long, ids array<long>, far array<float>, new array<boolean>"
+_GRAPH = f"{_LISTS}, code binary, pick array<boolean>"
 
 
 class Codes:
@@ -124,8 +127,8 @@ def _lists(rows: np.ndarray, n: int, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)), pa.int32()), values)
 
 
-def _nearest(node: np.ndarray, ids: np.ndarray, far: np.ndarray, new: np.ndarray, keep: int) -> pa.RecordBatch | None:
-    """Of all (node, id) the ``keep`` nearest of each node; one met before is not new."""
+def _nearest(node: np.ndarray, ids: np.ndarray, far: np.ndarray, new: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
+    """Of all (node, id) the ``keep`` nearest of each node, by distance; one met before is not new."""
     order = np.lexsort((new, ids, node))
     node, ids, far, new = node[order], ids[order], far[order], new[order]
     once = np.ones(len(node), bool)
@@ -133,31 +136,51 @@ def _nearest(node: np.ndarray, ids: np.ndarray, far: np.ndarray, new: np.ndarray
     node, ids, far, new = node[once], ids[once], far[once], new[once]
     order = np.lexsort((ids, far, node))
     node, ids, far, new = node[order], ids[order], far[order], new[order]
-    own, starts, place = np.unique(node, return_index=True, return_inverse=True)
-    kept = np.arange(len(node)) - starts[place] < keep
-    if not len(own):
-        return None
-    place = place[kept]
-    return pa.RecordBatch.from_pydict(
-        {
-            "node": own,
-            "ids": _lists(place, len(own), pa.array(ids[kept])),
-            "far": _lists(place, len(own), pa.array(far[kept].astype(np.float32))),
-            "new": _lists(place, len(own), pa.array(new[kept])),
-        }
-    )
+    kept = _rank(node) < keep
+    return node[kept], ids[kept], far[kept].astype(np.float32), new[kept]
+
+
+def _rank(*keys: np.ndarray) -> np.ndarray:
+    """Place of each row among the rows of equal keys; equal keys stand together."""
+    n = len(keys[0])
+    first = np.zeros(n, bool)
+    first[:1] = True
+    for k in keys:
+        first[1:] |= k[1:] != k[:-1]
+    starts = np.flatnonzero(first)
+    return np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
 
 
-def _merged(rows: DataFrame) -> DataFrame:
-    """The nearest neighbours of each node, of all lists it has."""
+def _merged(rows: DataFrame, turn: int) -> DataFrame:
+    """The nearest neighbours of each node, of all lists it has, and which of them meet in the next round.
+
+    One row of each node has its code.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, ("node",)):
             sizes = batch.column("ids").value_lengths().to_numpy(zero_copy_only=False)
-            node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), sizes)
-            found = _nearest(node, *(_flat(batch.column(c)) for c in ("ids", "far", "new")), NEIGHBOURS)
-            if found is not None:
-                yield found
+            every = batch.column("node").to_numpy(zero_copy_only=False)
+            lists = (_flat(batch.column(c)) for c in ("ids", "far", "new"))
+            node, ids, far, new = _nearest(np.repeat(every, sizes), *lists, NEIGHBOURS)
+            new = new.astype(bool)
+            drawn = mix(node.astype(np.uint64) * _DRAWS[0] + ids.astype(np.uint64) * _DRAWS[1] + np.uint64(turn))
+            order = np.lexsort((drawn, new, node))
+            pick = np.zeros(len(node), bool)
+            pick[order] = _rank(node[order], new[order]) < SAMPLE
+            coded = np.flatnonzero(batch.column("code").is_valid().to_numpy(zero_copy_only=False))
+            own = every[coded]
+            place = np.searchsorted(own, node)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": own,
+                    "ids": _lists(place, len(own), pa.array(ids)),
+                    "far": _lists(place, len(own), pa.array(far)),
+                    "new": _lists(place, len(own), pa.array(new)),
+                    "code": batch.column("code").take(pa.array(coded)),
+                    "pick": _lists(place, len(own), pa.array(pick)),
+                }
+            )
 
     return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, _GRAPH)
 
@@ -229,28 +252,24 @@ def _starting(codes: DataFrame, count: int, seed: int) -> DataFrame:
 
     dealt = codes.mapInArrow(cells, "part int, size int, cell long, side float, node long, code binary")
     order = ("part", "size", "cell", "side", "node")
-    return dealt.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(windows, _GRAPH)
-
-
-def _picked(graph: DataFrame, turn: int) -> DataFrame:
-    """(node, id, new): the new and old neighbours that meet in this round."""
-
-    def some(new: bool) -> Column:
-        drawn = F.transform(
-            F.filter(F.arrays_zip("ids", "new"), lambda e: e["new"] == new),
-            lambda e: F.struct(F.xxhash64(F.lit(turn), F.col("node"), e["ids"]), e["ids"].alias("id"), e["new"].alias("new")),
-        )
-        return F.slice(F.array_sort(drawn), 1, SAMPLE)
-
-    return graph.select("node", F.explode(F.concat(some(True), some(False))).alias("e")).select("node", "e.id", "e.new")
+    return dealt.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(windows, _LISTS)
 
 
 def _met(gathered: DataFrame) -> DataFrame:
-    """What nodes learn where they meet: lists of nearer neighbours."""
+    """What nodes learn where they meet: lists of nearer neighbours. Rows stand together by node."""
 
-    def flush(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch | None:
+    def flush(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         node, ids, far = (np.concatenate(c) for c in zip(*parts, strict=True))
-        return _nearest(node, ids, far, np.ones(len(node), bool), NEIGHBOURS)
+        node, ids, far, new = _nearest(node, ids, far, np.ones(len(node), bool), NEIGHBOURS)
+        own, place = np.unique(node, return_inverse=True)
+        return pa.RecordBatch.from_pydict(
+            {
+                "node": own,
+                "ids": _lists(place, len(own), pa.array(ids)),
+                "far": _lists(place, len(own), pa.array(far)),
+                "new": _lists(place, len(own), pa.array(new)),
+            }
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, ...]] = []
@@ -292,40 +311,40 @@ def _met(gathered: DataFrame) -> DataFrame:
         if parts:
             yield flush(parts)
 
-    return gathered.repartition("node").sortWithinPartitions("node").mapInArrow(run, _GRAPH)
+    return gathered.mapInArrow(run, _LISTS)
 
 
-def _round(graph: DataFrame, codes: DataFrame, turn: int) -> DataFrame:
+def _round(graph: DataFrame, turn: int) -> DataFrame:
     """One round of joining neighbours of neighbours."""
-    forth = stored(_picked(graph, turn), "picked")
-    back = forth.select(F.col("id").alias("node"), F.col("node").alias("id"), "new")
-    # a node that very many have as neighbour takes a sample of them
-    rank = F.row_number().over(
-        Window.partitionBy("node", "new").orderBy(F.xxhash64(F.lit(turn), "id", "node"))
-    )
-    back = back.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).drop("rank")
     full = F.size("far") >= NEIGHBOURS
-    bound = F.when(full, F.element_at("far", -1)).otherwise(F.lit(float("inf")).cast("float"))
-    known = codes.join(graph.select("node", bound.alias("bound")), "node").withColumnRenamed("node", "id")
-    gathered = forth.unionByName(back).join(known, "id")
-    told = _met(gathered)
-    # what was picked has met: it is old now
-    seen = forth.where("new").groupBy("node").agg(F.collect_list("id").alias("picked"))
-    aged = graph.join(seen, "node", "left").select(
-        "node",
-        "ids",
-        "far",
-        F.zip_with("ids", "new", lambda i, n: n & ~F.coalesce(F.array_contains("picked", i), F.lit(False))).alias("new"),
+    bound = F.when(full, F.element_at("far", -1)).otherwise(F.lit(float("inf")).cast("float")).alias("bound")
+    entry = F.explode(F.filter(F.arrays_zip("ids", "new", "pick"), lambda e: e["pick"]))
+    picked = graph.select("node", "code", bound, entry.alias("e"))
+    # a node asks for the codes of its neighbours, and sends its own to them
+    asked = picked.select("node", F.col("e.ids").alias("id"), F.col("e.new").alias("new"))
+    known = graph.select(F.col("node").alias("id"), "code", bound)
+    forth = asked.join(known, "id").select("node", "id", "new", "code", "bound", F.lit(0).alias("side"))
+    back = picked.select(
+        F.col("e.ids").alias("node"), F.col("node").alias("id"), F.col("e.new").alias("new"), "code", "bound", F.lit(1).alias("side")
     )
-    return stored(_merged(aged.unionByName(told)), "graph")
+    # a node that very many have as neighbour takes a sample of them
+    order = ("side", F.xxhash64(F.lit(turn), "id", "node"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(*order))
+    gathered = forth.unionByName(back).withColumn("rank", rank).where(F.col("rank") <= 4 * SAMPLE)
+    # what is picked meets now: it is old from here on
+    aged = F.zip_with("new", "pick", lambda n, p: n & ~p).alias("new")
+    lists = graph.select("node", "ids", "far", aged, "code")
+    return stored(_merged(lists.unionByName(_met(gathered), allowMissingColumns=True), turn + 1), "graph")
 
 
 def graph_of(codes: DataFrame, seed: int = 0) -> DataFrame:
-    """(node, ids, far, new): the nearest neighbours found of every node of (node, code)."""
+    """(node, ids, far, new, ..): the nearest neighbours found of every node of (node, code)."""
     count = codes.count()
-    graph = stored(_merged(_starting(codes, count, seed)), "graph")
+    none = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("ids", "long"), ("far", "float"), ("new", "boolean"))]
+    start = codes.select("node", *none, "code").unionByName(_starting(codes, count, seed), allowMissingColumns=True)
+    graph = stored(_merged(start, 0), "graph")
     for turn in range(ROUNDS):
-        graph = _round(graph, codes, turn)
+        graph = _round(graph, turn)
         changed = graph.agg(F.sum(F.size(F.filter("new", lambda n: n)))).first()[0] or 0
         if changed <= SETTLED * NEIGHBOURS * count:
             break
