@@ -43,7 +43,9 @@ _LOW_BITS = 19  # slots of one merge group: 512 Ki counters
 #: Segments of a stripe, by the words of its prefix.
 SEGMENTS = (64, 8, 1, 1)
 #: Bytes of text that are worked on at once; a text is cut only where a piece ends.
-STRETCH = 1 << 23
+STRETCH = 1 << 22
+#: Entries that a task holds to merge those of its stretches before they are sent.
+HELD = 1_500_000
 UNKNOWN_LANG = "und"
 
 _BREAK = np.zeros(256, bool)
@@ -61,7 +63,7 @@ class Words:
         inside = ~_GAP[data]
         edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        piece = np.cumsum(_BREAK[data], dtype=np.int64)[starts]
+        piece = np.cumsum(_BREAK[data], dtype=np.int32)[starts]
         self.joined = np.zeros(len(starts), bool)
         self.joined[1:] = piece[1:] == piece[:-1]
         offsets = np.zeros(len(starts) + 1, np.int64)
@@ -233,75 +235,106 @@ def _joined_text(words: Words, prefix: list[np.ndarray]) -> pa.Array:
 
 
 def _stripes_of(shared, name: str):
-    """Stripes of each stretch: (lang, prefix, segment, next, n).
+    """Stripes of the texts of a task: (lang, prefix, segment, next, n).
 
     In the stripe of the empty prefix, next '' counts the words without an entry.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _bits_of(name, shared.value)
+        parts: list[pa.RecordBatch] = []
+        held = 0
         for words in _stretches(batches):
-            n_words = len(words.number)
-            often = np.zeros((LONGEST + 2, n_words + LONGEST), bool)
-            for k in range(1, LONGEST + 1):
-                places = words.runs(k)
-                if k > 1:
-                    places = places[often[k - 1, places] & often[k - 1, places + 1]]
-                slots = words.slots(places, k)
-                hit = (bits[k][slots >> np.uint32(3)] >> (slots & np.uint32(7)).astype(np.uint8)) & 1
-                often[k, places[hit == 1]] = True
-            known = often[1, :n_words]
-            rest = np.bincount(words.lang[~known], minlength=len(words.names))
-            used, n = np.unique(words.number[known], return_counts=True)
-            yield from _striped(words, 0, words.lang_of(used), used, n, rest)
-            number = np.append(words.number, np.zeros(LONGEST, np.int64))
-            size = len(words.hashes) + 1
-            key = number.copy()
-            for k in range(1, LONGEST):
-                places = np.flatnonzero(often[k + 1, :n_words])
-                if not len(places):
-                    break
-                # prefixes of k words, numbered anew: exact, and small enough to be joined to a word
-                if k > 1:
-                    key[places] = key[places] * size + number[places + k - 1]
-                _, first, own = np.unique(key[places], return_index=True, return_inverse=True)
-                pairs, n = np.unique(own * size + number[places + k], return_counts=True)
-                yield from _striped(words, k, pairs // size, pairs % size, n, places[first])
-                key[places] = own
+            own = list(_entries(words, bits))
+            parts += own
+            held += sum(p.num_rows for p in own)
+            if held > HELD:
+                yield from _as_stripes(parts)
+                parts, held = [], 0
+        if parts:
+            yield from _as_stripes(parts)
 
     return run
 
 
-def _striped(
-    words: Words, k: int, own: np.ndarray, follower: np.ndarray, n: np.ndarray, of: np.ndarray
-) -> Iterator[pa.RecordBatch]:
-    """Entries as stripes, one row for each prefix and segment.
-
-    ``own`` numbers the prefixes, and ``of`` has the place where each is; for the empty
-    one, ``own`` is the language and ``of`` how many of its words have no entry.
-    """
-    texts = words.texts_of(follower)
+def _entries(words: Words, bits: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The entries of one stretch of text, by the number of words of the prefix."""
+    n_words = len(words.number)
+    often = np.zeros((LONGEST + 2, n_words + LONGEST), bool)
+    for k in range(1, LONGEST + 1):
+        places = words.runs(k)
+        if k > 1:
+            places = places[often[k - 1, places] & often[k - 1, places + 1]]
+        slots = words.slots(places, k)
+        hit = (bits[k][slots >> np.uint32(3)] >> (slots & np.uint32(7)).astype(np.uint8)) & 1
+        often[k, places[hit == 1]] = True
+    known = often[1, :n_words]
+    used, n = np.unique(words.number[known], return_counts=True)
+    yield _flat(words, 0, words.lang_of(used), pa.array([""] * len(used), pa.large_string()), used, n)
+    rest = np.bincount(words.lang[~known], minlength=len(words.names))
+    lang = np.flatnonzero(rest)
+    empty = pa.array([""] * len(lang), pa.large_string())
+    yield _batch(words, lang, empty, np.zeros(len(lang), np.int64), empty, rest[lang])
+    number = np.append(words.number, np.zeros(LONGEST, np.int64))
+    size = len(words.hashes) + 1
+    key = number.copy()
+    for k in range(1, LONGEST):
+        places = np.flatnonzero(often[k + 1, :n_words])
+        if not len(places):
+            break
+        # prefixes of k words, numbered anew: exact, and small enough to be joined to a word
+        if k > 1:
+            key[places] = key[places] * size + number[places + k - 1]
+        _, first, own = np.unique(key[places], return_index=True, return_inverse=True)
+        pairs, n = np.unique(own * size + number[places + k], return_counts=True)
+        of = places[first]
+        prefix = _joined_text(words, [number[of + i] for i in range(k)]).take(pa.array(pairs // size))
+        yield _flat(words, k, words.lang[of][pairs // size], prefix, pairs % size, n)
+        key[places] = own
+
+
+def _flat(words: Words, k: int, lang: np.ndarray, prefix: pa.Array, follower: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     segment = (words.hashes[follower] % np.uint64(SEGMENTS[k])).astype(np.int64)
-    if k:
-        prefix, lang = _joined_text(words, [words.number[of + i] for i in range(k)]), words.lang[of]
-    else:
-        rest = np.flatnonzero(of)
-        own, n = np.append(own, rest), np.append(n, of[rest])
-        segment = np.append(segment, np.zeros(len(rest), np.int64))
-        texts = pa.concat_arrays([texts, pa.array([""] * len(rest), pa.large_string())])
-        prefix, lang = pa.array([""] * len(words.names), pa.large_string()), np.arange(len(words.names))
+    return _batch(words, lang, prefix, segment, words.texts_of(follower), n)
+
+
+def _batch(
+    words: Words, lang: np.ndarray, prefix: pa.Array, segment: np.ndarray, following: pa.Array, n: np.ndarray
+) -> pa.RecordBatch:
+    names = pa.array(words.names, pa.large_string())
+    return pa.RecordBatch.from_pydict(
+        {
+            "lang": names.take(pa.array(lang, pa.int64())),
+            "prefix": prefix,
+            "segment": pa.array(segment, pa.int32()),
+            "next": following,
+            "n": pa.array(n, pa.int64()),
+        }
+    )
+
+
+def _as_stripes(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries merged and gathered: one row for each prefix and segment."""
+    flat = pa.Table.from_batches(parts)
+    keys = ["lang", "prefix", "segment", "next"]
+    merged = flat.group_by(keys, use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+    if not merged.num_rows:
+        return
+    column = {c: merged.column(c).chunk(0) for c in (*keys, "n_sum")}
+    coded = {c: column[c].dictionary_encode() for c in ("lang", "prefix")}
+    lang, prefix = (coded[c].indices.to_numpy().astype(np.int64) for c in ("lang", "prefix"))
+    own = lang * len(coded["prefix"].dictionary) + prefix
+    segment = column["segment"].to_numpy().astype(np.int64)
     order = np.lexsort((segment, own))
-    own, n, segment, texts = own[order], n[order], segment[order], texts.take(pa.array(order))
+    own, segment = own[order], segment[order]
     starts = np.flatnonzero(np.diff(own * SEGMENTS[0] + segment, prepend=-1))
-    names = pa.array(words.names, pa.large_string())
+    taken, heads = pa.array(order), pa.array(order[starts])
     offsets = pa.array(np.append(starts, len(own)), pa.int64())
     whole = pa.RecordBatch.from_arrays(
         [
-            names.take(pa.array(lang[own[starts]])),
-            prefix.take(pa.array(own[starts])),
-            pa.array(segment[starts], pa.int32()),
-            pa.LargeListArray.from_arrays(offsets, texts),
-            pa.LargeListArray.from_arrays(offsets, pa.array(n, pa.int64())),
+            *(column[c].take(heads) for c in ("lang", "prefix", "segment")),
+            pa.LargeListArray.from_arrays(offsets, column["next"].take(taken)),
+            pa.LargeListArray.from_arrays(offsets, column["n_sum"].take(taken)),
         ],
         ["lang", "prefix", "segment", "next", "n"],
     )
