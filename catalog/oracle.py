@@ -224,6 +224,8 @@ RUN = """
   'deals,details' AS sources, '2001-12-01 06:00:00' AS ingested_at
 """
 
+NAMES = "SELECT DISTINCT coalesce(trim(name), 'DESCONHECIDO') AS name FROM details"
+
 FINAL = {
     # sources and sinks
     "nested_envelope_roundtrip": """
@@ -353,6 +355,46 @@ FINAL = {
         FROM items i JOIN tags t ON i.snapshot_date = t.snapshot_date AND i.item_id = t.item_id
     """,
     "price_history": "SELECT * FROM history",
+    "read_version": "SELECT * FROM history",
+    "refused_write": "SELECT * FROM history",
+    "history_lookup": "SELECT * FROM history WHERE item_id IN ('42', '777', '1000000')",
+    "names_like": f"SELECT name FROM ({NAMES}) WHERE lower(name) LIKE lower('%RED %idge%')",
+    "names_literal": f"SELECT name FROM ({NAMES}) WHERE contains(lower(name), lower('D GIZ'))",
+    "names_regex": f"SELECT name FROM ({NAMES}) WHERE regexp_matches(name, '(?i)^[a-r].* gi[xz]mo')",
+    "quarantined_deals": """
+        SELECT 'deals' AS source,
+          concat('{"steamAppID":"', coalesce(item_id, ''), '","storeID') AS text
+        FROM deals WHERE ord1 % 50 = 7
+    """,
+    "audit_with_unreadable": """
+        SELECT snapshot_date, CAST(sum(n) AS BIGINT) AS n_received,
+          CAST(sum(CASE WHEN bad THEN n ELSE 0 END) AS BIGINT) AS n_unreadable,
+          CAST(sum(CASE WHEN NOT bad AND item_id IS NULL THEN n ELSE 0 END) AS BIGINT) AS n_missing_key,
+          CAST(sum(CASE WHEN item_id IS NOT NULL THEN n - 1 ELSE 0 END) AS BIGINT) AS n_duplicate,
+          CAST(sum(CASE WHEN item_id IS NOT NULL AND hit = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_lookup_failed,
+          CAST(sum(CASE WHEN item_id IS NOT NULL AND hit = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_accepted
+        FROM (
+          SELECT m.snapshot_date, bad, m.item_id, count(*) AS n,
+            max(CASE WHEN t.item_id IS NULL THEN 0 ELSE 1 END) AS hit
+          FROM (SELECT snapshot_date, ord1 % 50 = 7 AS bad,
+              CASE WHEN ord1 % 50 <> 7 THEN nullif(item_id, '') END AS item_id FROM deals) m
+            LEFT JOIN details t ON m.item_id = t.item_id AND t.success
+          GROUP BY 1, 2, 3)
+        GROUP BY snapshot_date
+    """,
+    "ledger_runs": """
+        SELECT 1 AS run, count(*) AS n_deals FROM deals WHERE ord1 % 3 <> 0
+        UNION ALL SELECT 2, count(*) FROM deals WHERE ord1 % 3 = 0
+        UNION ALL SELECT 3, CAST(0 AS BIGINT)
+    """,
+    "rank_makers_range": f"""
+        SELECT maker_name, {MEASURES} FROM joined_makers
+        WHERE snapshot_date BETWEEN DATE '1995-03-01' AND DATE '1997-02-01' GROUP BY maker_name
+    """,
+    "rank_tags_range": f"""
+        SELECT tag_id, tag_name, {MEASURES} FROM joined_tags
+        WHERE snapshot_date BETWEEN DATE '1995-03-01' AND DATE '1997-02-01' GROUP BY tag_id, tag_name
+    """,
     "offers": "SELECT * FROM offers",
     "savings": """
         SELECT item_id, snapshot_date, ref_currency, savings FROM offers

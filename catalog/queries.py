@@ -12,7 +12,7 @@ from catalog import views
 from pricetide.functions.numeric import minor_to_major
 from pricetide.functions.text import clean_name, format_price
 from pricetide.operators import conform as fit
-from pricetide.operators import dedupe, enrich, gold, lineage, serving, silver
+from pricetide.operators import checks, dedupe, enrich, gold, lineage, serving, silver, states
 from pricetide.schemas import (
     LANDED_DEAL_NAMES,
     LANDED_STORE_NAMES,
@@ -20,8 +20,8 @@ from pricetide.schemas import (
     SERVING_PRICE_HISTORY,
 )
 from pricetide.session import fresh_path
-from pricetide.sinks import lake
-from pricetide.sources import landed, tables
+from pricetide.sinks import buckets, clusters, lake, names
+from pricetide.sources import landed, ledger, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN = lineage.Run(
@@ -165,6 +165,39 @@ def snapshot_replace(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, root, first.schema)
 
 
+def replaced_history(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """A history and its table, of which some dates were replaced and some emptied since."""
+    first = history(spark, sf)
+    root = fresh_path(spark, "history")
+    written = lake.replace_snapshots(first, root)
+    redone = [d for d in written.snapshots if d.year < 1998]
+    halved = first.filter(F.year("snapshot_date") == 1997).withColumn("sale_price", F.col("sale_price") / 2)
+    lake.replace_snapshots(halved, root, redone)
+    return first, root
+
+
+@register
+def read_version(spark: SparkSession, sf: str) -> DataFrame:
+    """The first version of a table that was changed since."""
+    first, root = replaced_history(spark, sf)
+    return tables.read_table(spark, root, first.schema, version=1)
+
+
+@register
+def refused_write(spark: SparkSession, sf: str) -> DataFrame:
+    """A table after a write whose staged rows repeat a key: as it was."""
+    first = history(spark, sf)
+    root = fresh_path(spark, "history")
+    unique = checks.unique("item_id", "snapshot_date")
+    lake.replace_snapshots(first, root, checks=[unique])
+    kept = tables.read_table(spark, root, first.schema)
+    try:
+        lake.replace_snapshots(kept.unionByName(kept.withColumn("name", F.lit("again"))), root, checks=[unique])
+    except lake.Refused:
+        return tables.read_table(spark, root, first.schema)
+    raise AssertionError("a repeated key was published")
+
+
 @register
 def conform_schema(spark: SparkSession, sf: str) -> DataFrame:
     return plain(serving_offers(spark, sf))
@@ -226,6 +259,46 @@ def landed_deals(spark: SparkSession, sf: str) -> DataFrame:
     return landed.read_deals(spark, path, lines=False).drop("ord1", "ord2")
 
 
+@register
+def quarantined_deals(spark: SparkSession, sf: str) -> DataFrame:
+    """Deals landed as lines of which some are cut off: the text of those, set aside."""
+    record = F.struct(*[F.col(neutral).alias(name) for name, neutral in LANDED_DEAL_NAMES.items()])
+    cut = F.concat(F.lit('{"steamAppID":"'), F.coalesce("item_id", F.lit("")), F.lit('","storeID'))
+    line = F.when(F.col("ord1") % 50 == 7, cut).otherwise(F.to_json(record))
+    path = fresh_path(spark, "landed-lines")
+    views.deals(spark, sf).select(line.alias("value")).write.text(path)
+    found = landed.read_deals(spark, path, keep_bad=True)
+    return landed.unreadable(found, "deals").select("source", "text")
+
+
+@register
+def audit_with_unreadable(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit of deals of which some could not be read: all counts add up to those received."""
+    text = F.when(F.col("ord1") % 50 == 7, F.lit("{"))
+    return enrich.rejection_audit(views.deals(spark, sf).withColumn("corrupt", text), views.details(spark, sf))
+
+
+@register
+def ledger_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Deals that each of three runs finds pending: some files, those that come late, none."""
+    root = fresh_path(spark, "landing")
+    deals = views.deals(spark, sf).select(F.col("ord1"), "item_id", "store_id")
+    counts = []
+    for run, part in enumerate([F.col("ord1") % 3 != 0, F.col("ord1") % 3 == 0, F.lit(False)], 1):
+        if run < 3:
+            rows = deals.filter(part).select(
+                F.col("item_id").alias("steamAppID"), F.coalesce("store_id", F.lit("none")).alias("storeID")
+            )
+            rows.write.mode("append").json(f"{root}/landed/deals")
+        files = ledger.landed_files(spark, {"deals": f"{root}/landed/deals"})
+        known = ledger.entered(spark, f"{root}/ledger", "2026-01-01")
+        new = ledger.paths(ledger.pending(files, known).collect(), "deals")
+        counts.append((run, landed.read_deals(spark, new).count() if new else 0))
+        day = F.lit("2026-01-01").cast("date")
+        lake.replace_snapshots(files.withColumn("snapshot_date", day), f"{root}/ledger", ["2026-01-01"])
+    return spark.createDataFrame(counts, "run int, n_deals bigint")
+
+
 @register
 def landed_stores(spark: SparkSession, sf: str) -> DataFrame:
     """Store pairs landed as JSON lines, read back as rows."""
@@ -432,16 +505,64 @@ def rank_tags_joined(spark: SparkSession, sf: str) -> DataFrame:
     return gold.rank_tags(facts, bridge, unique_items=True)
 
 
+def bucketed_records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Records written in buckets by (snapshot, item), as the sides of a join.
+
+    The dedupe has dealt them by these keys already, into as many parts.
+    """
+    root = f"{fresh_path(spark, 'buckets')}/records"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets.write_buckets(unlabelled(spark, sf), root, buckets=parts, dealt=True)
+    (sides,) = buckets.together(spark, [root, root])
+    return sides
+
+
 @register
 def join_makers(spark: SparkSession, sf: str) -> DataFrame:
-    facts, _, bridge = silver_tables(spark, sf)
-    return gold.join_makers(facts, bridge)
+    facts, bridge = bucketed_records(spark, sf)
+    return gold.join_makers(
+        silver.silver_items(facts, unique_records=True), silver.maker_bridge(bridge, unique_records=True)
+    )
 
 
 @register
 def join_tags(spark: SparkSession, sf: str) -> DataFrame:
-    facts, bridge, _ = silver_tables(spark, sf)
-    return gold.join_tags(facts, bridge)
+    facts, bridge = bucketed_records(spark, sf)
+    return gold.join_tags(
+        silver.silver_items(facts, unique_records=True), silver.tag_bridge(bridge, unique_records=True)
+    )
+
+
+def ranges(spark: SparkSession, sf: str, joined: DataFrame, dims: list[str]) -> DataFrame:
+    """The ranking over two years, from the states of each snapshot."""
+    root = fresh_path(spark, "states")
+    joined = joined.select("snapshot_date", *gold.MEASURES, *dims)
+    joined.write.parquet(f"{root}/joined")
+    kept = spark.read.schema(joined.schema).parquet(f"{root}/joined")
+    lake.replace_snapshots(states.rank_states(kept, dims), f"{root}/states")
+    lake.replace_snapshots(states.item_sets(kept, dims), f"{root}/sets")
+    ends = ("1995-03-01", "1997-02-01")
+    return states.merged_ranking(
+        states.between(tables.read_table(spark, f"{root}/states"), *ends),
+        states.between(tables.read_table(spark, f"{root}/sets"), *ends),
+        dims,
+    )
+
+
+@register
+def rank_makers_range(spark: SparkSession, sf: str) -> DataFrame:
+    items = silver.silver_items(unlabelled(spark, sf), unique_records=True, keep=("makers",))
+    maker = F.explode(silver.cleaned_makers(F.col("makers"))).alias("maker_name")
+    return ranges(spark, sf, items.select("snapshot_date", *gold.MEASURES, maker), ["maker_name"])
+
+
+@register
+def rank_tags_range(spark: SparkSession, sf: str) -> DataFrame:
+    items = silver.silver_items(unlabelled(spark, sf), unique_records=True, keep=("tags",))
+    tag = F.explode(silver.cleaned_tags(F.col("tags"))).alias("tag")
+    one = items.select("snapshot_date", *gold.MEASURES, tag).select("snapshot_date", *gold.MEASURES, "tag.*")
+    named = one.groupBy("snapshot_date", *gold.MEASURES, "tag_id").agg(F.min("tag_name").alias("tag_name"))
+    return ranges(spark, sf, named, ["tag_id", "tag_name"])
 
 
 @register
@@ -557,6 +678,36 @@ def history_for_item(spark: SparkSession, sf: str) -> DataFrame:
     return plain(serving.history_for_item(serving_history(spark, sf), 42))
 
 
+@register
+def history_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The history of three items, from files clustered by item."""
+    rows = history(spark, sf)
+    root = fresh_path(spark, "clustered")
+    clusters.write_clustered(rows, root)
+    return clusters.lookup(spark, root, ["42", "777", "1000000"], schema=rows.schema)
+
+
+def name_index(spark: SparkSession, sf: str) -> str:
+    root = fresh_path(spark, "names")
+    names.write_names(views.details(spark, sf).select(clean_name(F.col("name")).alias("name")), root)
+    return root
+
+
+@register
+def names_like(spark: SparkSession, sf: str) -> DataFrame:
+    return names.search_like(spark, name_index(spark, sf), "RED %idge").names
+
+
+@register
+def names_literal(spark: SparkSession, sf: str) -> DataFrame:
+    return names.search_literal(spark, name_index(spark, sf), "D GIZ").names
+
+
+@register
+def names_regex(spark: SparkSession, sf: str) -> DataFrame:
+    return names.search_regex(spark, name_index(spark, sf), "^[a-r].* gi[xz]mo").names
+
+
 @register
 def list_names(spark: SparkSession, sf: str) -> DataFrame:
     return serving.list_names(serving_history(spark, sf))
