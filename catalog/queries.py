@@ -267,8 +267,9 @@ def quarantined_deals(spark: SparkSession, sf: str) -> DataFrame:
     line = F.when(F.col("ord1") % 50 == 7, cut).otherwise(F.to_json(record))
     path = fresh_path(spark, "landed-lines")
     views.deals(spark, sf).select(line.alias("value")).write.text(path)
-    found = landed.read_deals(spark, path, keep_bad=True)
-    return landed.unreadable(found, "deals").select("source", "text")
+    root = fresh_path(spark, "deals")
+    lake.replace_table(landed.read_deals(spark, path, keep_bad=True), root)
+    return landed.unreadable(tables.read_table(spark, root), "deals").select("source", "text")
 
 
 @register

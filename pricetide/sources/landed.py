@@ -114,7 +114,10 @@ def readable(df: DataFrame) -> DataFrame:
 
 
 def unreadable(df: DataFrame, source: str) -> DataFrame:
-    """(source, file, text) of the records that could not."""
+    """(source, file, text) of the records that could not, of a table that was written.
+
+    Spark does not read that column alone from raw JSON.
+    """
     return df.filter(F.col(CORRUPT).isNotNull()).select(
         F.lit(source).alias("source"), F.col("ord1").alias("file"), F.col(CORRUPT).alias("text")
     )

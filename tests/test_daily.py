@@ -6,9 +6,10 @@ import pytest
 from helpers import rows
 
 from pricetide import schemas
+from pricetide.operators import gold
 from pricetide.operators.lineage import Run
 from pricetide.plans import daily
-from pricetide.sinks import jdbc
+from pricetide.sinks import buckets, clusters, jdbc, lake
 from pricetide.sources import tables
 from test_sources import envelope, write
 
@@ -175,3 +176,97 @@ def test_command_line_takes_each_date_from_its_own_files(spark, tmp_path, capsys
     found = tables.read_table(spark, f"{tmp_path}/lake/bronze/records", schemas.BRONZE_RECORDS)
     got = sorted((str(r.snapshot_date), r.item_id) for r in found.collect())
     assert got == [("2026-01-01", "7"), ("2026-01-02", "8")]
+
+
+# --- bad records, late files, buckets ------------------------------------------------------
+
+
+def days_of(spark, root, name, schema):
+    return tables.read_table(spark, f"{root}/{name}", schema)
+
+
+def test_bad_records_do_not_stop_the_day_and_are_counted(spark, tmp_path):
+    lines = "\n".join([*map(json.dumps, DEALS), '{"steamAppID": "7"', "5"])
+    where = tmp_path / "in"
+    write(where / "deals/p.json", lines)
+    write(where / "stores/s.json", "\n".join([*map(json.dumps, STORES), "{"]))
+    write(where / "details/d.json", "\n".join([*map(json.dumps, DETAILS), '{"10": ']))
+    root = f"{tmp_path}/lake"
+    run = lambda **options: daily.run_bronze(spark, str(where), root, "2026-01-01", Run("r", AT), **options)
+    assert run(bad_limit=4) == {"deals": 10, "records": 3, "unreadable": 4}
+    aside = days_of(spark, root, "bronze/quarantine", schemas.QUARANTINE)
+    assert sorted((r.source, r.text) for r in aside.collect()) == [
+        ("deals", "5"), ("deals", '{"steamAppID": "7"'), ("details", '{"10": '), ("stores", "{"),
+    ]
+    assert all(r.file and r.run_id == "r" for r in aside.collect())
+    (row,) = days_of(spark, root, "bronze/manifest", schemas.BRONZE_MANIFEST).collect()
+    parts = (row.n_unreadable, row.n_missing_key, row.n_duplicate, row.n_lookup_failed, row.n_records)
+    assert parts == (2, 2, 1, 2, 3) and sum(parts) == row.n_offers_received == 10
+    before = rows(days_of(spark, root, "bronze/records", schemas.BRONZE_RECORDS))
+    with pytest.raises(lake.Refused, match="4 records cannot be read, 3 may"):
+        run(bad_limit=3)
+    assert rows(days_of(spark, root, "bronze/records", schemas.BRONZE_RECORDS)) == before
+
+
+def test_a_late_file_is_neither_skipped_nor_taken_twice(spark, tmp_path):
+    where = landing(tmp_path / "in", DEALS, DETAILS, STORES)
+    root = f"{tmp_path}/lake"
+    run = lambda n: daily.run_bronze(
+        spark, where, root, "2026-01-01", Run(f"r{n}", AT), lines=False, only_new=True
+    )
+    assert run(1) == {"deals": 8, "records": 3}
+    assert run(2) == {"deals": 0, "records": 0}
+    write(tmp_path / "in/deals/p0.json", [a_deal("7", sale="2.00"), a_deal("5")])
+    assert run(3) == {"deals": 10, "records": 3}
+    found = days_of(spark, root, "bronze/records", schemas.BRONZE_RECORDS)
+    # the late file comes first by name: its deal is the first of the item
+    assert {(r.item_id, r.sale_price) for r in found.collect()} == {("7", "2.00"), ("8", "5.00"), ("9", "5.00")}
+    taken = days_of(spark, root, "bronze/ledger", schemas.LEDGER)
+    assert sorted(r.path.rsplit("/", 1)[1] for r in taken.collect()) == ["d.json", "p0.json", "p1.json", "s.json"]
+    assert {r.run_id for r in taken.collect()} == {"r3"}
+    assert run(4) == {"deals": 0, "records": 0}
+    (tmp_path / "in/deals/p0.json").unlink()
+    assert run(5) == {"deals": 8, "records": 3}
+
+
+def test_bucketed_silver_gives_the_same_gold(spark, lake_root, conf):
+    _, root, _ = lake_root
+    before = gold_rows(spark, root)
+    other = f"{root}-b"
+    daily.run_bronze(spark, root.removesuffix("/lake") + "/in", other, "2026-01-01", Run("r", AT, sources=("a",)), lines=False)
+    assert daily.run_silver(spark, other, ["2026-01-01"], AT, buckets=3) == {"items": 2, "tags": 4, "makers": 4}
+    daily.run_gold(spark, other, ["2026-01-01"])
+    assert gold_rows(spark, other) == before
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    names = [f"{other}/silver/items", f"{other}/silver/makers"]
+    ((items, makers),) = buckets.together(spark, names, schemas=[schemas.SILVER_ITEMS, schemas.SILVER_MAKERS])
+    joined = gold.join_makers(items, makers)
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    ranked = gold.rank_makers(items, makers, unique_items=True, unique_makers=True)
+    kept = days_of(spark, other, "gold/rank_makers", schemas.GOLD_TABLES["rank_makers"])
+    assert rows(ranked.select(*kept.columns)) == rows(kept)
+
+
+def test_undated_documents_are_set_aside(spark, tmp_path):
+    good, bad = envelope({"steam_app_id": "7", "nome": "Doom"}), envelope({"steam_app_id": "8"})
+    bad["metadata"]["data_ingestao"] = None
+    write(tmp_path / "in/1.json", good)
+    write(tmp_path / "in/2.json", bad)
+    root = f"{tmp_path}/lake"
+    assert daily.import_envelopes(spark, f"{tmp_path}/in", root, Run("r", AT), keep_bad=True).rows == 1
+    aside = days_of(spark, root, "bronze/quarantine_envelopes", schemas.QUARANTINE)
+    assert [(r.source, str(r.snapshot_date)) for r in aside.collect()] == [("envelopes", AT[:10])]
+    with pytest.raises(Exception, match="envelope without a date"):
+        daily.import_envelopes(spark, f"{tmp_path}/in", root, Run("r", AT))
+
+
+def test_price_history_is_clustered_and_its_key_is_checked(spark, lake_root):
+    _, root, _ = lake_root
+    found = clusters.lookup(spark, f"{root}/gold/price_history", ["8"], schema=schemas.GOLD_TABLES["price_history"])
+    assert [(r.item_id, r.name) for r in found.collect()] == [("8", "Hades")]
+    items = tables.read_table(spark, f"{root}/silver/items", schemas.SILVER_ITEMS)
+    lake.replace_snapshots(items.unionByName(items), f"{root}/silver/items")
+    before = gold_rows(spark, root)["price_history"]
+    with pytest.raises(lake.Refused, match="unique"):
+        daily.run_gold(spark, root, ["2026-01-01"])
+    assert gold_rows(spark, root)["price_history"] == before

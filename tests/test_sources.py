@@ -1,10 +1,10 @@
 import json
 
 import pytest
-
 from helpers import rows
+from pyspark.sql import functions as F
 
-from pricetide.sources import landed
+from pricetide.sources import landed, ledger
 
 DEALS = [
     {"steamAppID": "7", "storeID": "1", "salePrice": "9.99", "normalPrice": "19.99",
@@ -107,3 +107,71 @@ def test_empty_envelope_gives_no_records(spark, tmp_path):
 def test_store_ids_are_text(spark, tmp_path):
     write(tmp_path / "s.json", [{"storeID": 1, "storeName": "One"}])
     assert landed.read_stores(spark, str(tmp_path)).first().store_id == "1"
+
+
+# --- records that cannot be read --------------------------------------------------------
+
+
+def test_bad_lines_are_kept_with_their_text(spark, tmp_path):
+    lines = [json.dumps(DEALS[0]), '{"steamAppID": "8"', "5", "", '"x"', json.dumps(DEALS[1]), '[{"steamAppID": "9"}]']
+    write(tmp_path / "a.json", "\n".join(lines))
+    found = landed.read_deals(spark, str(tmp_path), keep_bad=True).cache()
+    assert [r.item_id for r in landed.readable(found).orderBy("ord1", "ord2").collect()] == ["7", None, "9"]
+    bad = landed.unreadable(found, "deals").collect()
+    assert sorted(r.text for r in bad) == ['"x"', "5", '{"steamAppID": "8"']
+    assert all(r.file.endswith("a.json") and r.source == "deals" for r in bad)
+    assert "corrupt" not in landed.read_deals(spark, str(tmp_path)).columns
+
+
+def test_a_damaged_array_is_set_aside_whole(spark, tmp_path):
+    write(tmp_path / "good.json", DEALS)
+    write(tmp_path / "cut.json", '[{"steamAppID": "1"}, {"steamAppID": "2"}')
+    write(tmp_path / "odd.json", '[{"steamAppID": "3"}, 5]')
+    found = landed.read_deals(spark, str(tmp_path), lines=False, keep_bad=True).cache()
+    assert landed.readable(found).count() == len(DEALS)
+    assert sorted(r.file[-8:] for r in landed.unreadable(found, "deals").collect()) == ["cut.json", "odd.json"]
+
+
+def test_bad_detail_maps_are_kept_with_their_text(spark, tmp_path):
+    write(tmp_path / "d.json", "\n".join(['{"7": {"success": true}}', '{"8": ', "", "[]x", "{}", '{"9": 5}']))
+    found = landed.read_details(spark, str(tmp_path), keep_bad=True).cache()
+    assert sorted((r.item_id, r.success) for r in landed.readable(found).collect()) == [("7", True)]
+    assert sorted(r.text for r in landed.unreadable(found, "details").collect()) == ["[]x", '{"8": ', '{"9": 5}']
+    assert [r.item_id for r in landed.read_details(spark, str(tmp_path)).collect()] == ["7"]
+
+
+def test_undated_envelopes_are_set_aside(spark, tmp_path):
+    good, bad = envelope({"steam_app_id": "7"}), envelope({"steam_app_id": "8"})
+    bad["metadata"]["data_ingestao"] = "soon"
+    write(tmp_path / "in/1.json", good)
+    write(tmp_path / "in/2.json", bad)
+    envelopes = landed.read_envelopes(spark, f"{tmp_path}/in")
+    assert [r.item_id for r in landed.envelope_records(envelopes, keep_bad=True).collect()] == ["7"]
+    (row,) = landed.undated_envelopes(envelopes).collect()
+    assert row.file.endswith("2.json") and json.loads(row.text)["dados"][0]["steam_app_id"] == "8"
+
+
+# --- the ledger ---------------------------------------------------------------------------
+
+
+def test_pending_files_are_new_late_or_rewritten_ones(spark, tmp_path):
+    write(tmp_path / "deals/a.json", "1")
+    write(tmp_path / "deals/day=1/b [x]*.json", "2")
+    folders = {"deals": f"{tmp_path}/deals"}
+    known = spark.createDataFrame(ledger.landed_files(spark, folders).collect(), ledger.FILES)
+    assert known.count() == 2 and ledger.pending(ledger.landed_files(spark, folders), known).count() == 0
+    write(tmp_path / "deals/c.json", "3")
+    write(tmp_path / "deals/a.json", "11")
+    found = ledger.landed_files(spark, folders)
+    new = ledger.pending(found, known).collect()
+    assert sorted(r.path[-6:] for r in new) == ["a.json", "c.json"]
+    assert [r.size for r in ledger.gone(found, known).collect()] == [1]
+    # names with pattern characters are read as they are
+    text = spark.read.text(list(ledger.paths(found.collect(), "deals")))
+    assert sorted(r.value for r in text.collect()) == ["11", "2", "3"]
+    assert ledger.paths(new, "stores") == []
+
+
+def test_nothing_is_entered_before_the_first_run(spark, tmp_path):
+    found = ledger.entered(spark, f"{tmp_path}/ledger", "2026-01-01")
+    assert found.count() == 0 and found.select(F.col("path"), F.col("modified")).columns == ["path", "modified"]
