@@ -16,7 +16,7 @@ Two passes over the texts:
 2. Stripes. Words are numbered by their bytes, not by hashes, within each stretch of
    text, so entries are exact; only runs whose slot passes become entries. A stripe is
    sent in segments by the hash of the next word, so the stripe of a very common word
-   is merged in many tasks.
+   is merged in many tasks; a row holds many segments.
 """
 
 from __future__ import annotations
@@ -40,8 +40,10 @@ LONGEST = 4
 #: let fewer rare runs through to the second pass.
 SLOT_BITS = 27
 _LOW_BITS = 19  # slots of one merge group: 512 Ki counters
-#: Segments of a stripe, by the words of its prefix.
-SEGMENTS = (64, 8, 1, 1)
+#: Segments of a stripe, by the words of its prefix; the empty one is dealt word by word.
+SEGMENTS = (1 << 32, 8, 1, 1)
+#: Parts that the segments of a language are dealt into. A task sends one row a part.
+PARTS = 4_096
 #: Bytes of text that are worked on at once; a text is cut only where a piece ends.
 STRETCH = 1 << 22
 #: Entries that a task holds to merge those of its stretches before they are sent.
@@ -104,11 +106,14 @@ class Words:
             ok &= self.joined[i : i + n]
         return np.flatnonzero(ok)
 
-    def slots(self, places: np.ndarray, k: int) -> np.ndarray:
+    def run_hashes(self, places: np.ndarray, k: int) -> np.ndarray:
         h = np.full(len(places), np.uint64(k))
         for i in range(k):
             h = mix(h * _STEP + self.hashes[self.number[places + i]])
-        return (h >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
+        return h
+
+    def slots(self, places: np.ndarray, k: int) -> np.ndarray:
+        return (self.run_hashes(places, k) >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
@@ -235,7 +240,7 @@ def _joined_text(words: Words, prefix: list[np.ndarray]) -> pa.Array:
 
 
 def _stripes_of(shared, name: str):
-    """Stripes of the texts of a task: (lang, prefix, segment, next, n).
+    """Stripes of the texts of a task: (lang, part, stripes of (prefix, next, n)).
 
     In the stripe of the empty prefix, next '' counts the words without an entry.
     """
@@ -270,11 +275,12 @@ def _entries(words: Words, bits: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         often[k, places[hit == 1]] = True
     known = often[1, :n_words]
     used, n = np.unique(words.number[known], return_counts=True)
-    yield _flat(words, 0, words.lang_of(used), pa.array([""] * len(used), pa.large_string()), used, n)
+    none = pa.array([""] * len(used), pa.large_string())
+    yield _flat(words, 0, words.lang_of(used), none, np.zeros(len(used), np.uint64), used, n)
     rest = np.bincount(words.lang[~known], minlength=len(words.names))
     lang = np.flatnonzero(rest)
     empty = pa.array([""] * len(lang), pa.large_string())
-    yield _batch(words, lang, empty, np.zeros(len(lang), np.int64), empty, rest[lang])
+    yield _batch(words, lang, empty, lang % PARTS, empty, rest[lang])
     number = np.append(words.number, np.zeros(LONGEST, np.int64))
     size = len(words.hashes) + 1
     key = number.copy()
@@ -289,24 +295,28 @@ def _entries(words: Words, bits: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         pairs, n = np.unique(own * size + number[places + k], return_counts=True)
         of = places[first]
         prefix = _joined_text(words, [number[of + i] for i in range(k)]).take(pa.array(pairs // size))
-        yield _flat(words, k, words.lang[of][pairs // size], prefix, pairs % size, n)
+        drawn = words.run_hashes(of, k)[pairs // size]
+        yield _flat(words, k, words.lang[of][pairs // size], prefix, drawn, pairs % size, n)
         key[places] = own
 
 
-def _flat(words: Words, k: int, lang: np.ndarray, prefix: pa.Array, follower: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    segment = (words.hashes[follower] % np.uint64(SEGMENTS[k])).astype(np.int64)
-    return _batch(words, lang, prefix, segment, words.texts_of(follower), n)
+def _flat(
+    words: Words, k: int, lang: np.ndarray, prefix: pa.Array, drawn: np.ndarray, follower: np.ndarray, n: np.ndarray
+) -> pa.RecordBatch:
+    segment = words.hashes[follower] % np.uint64(SEGMENTS[k])
+    part = mix(drawn + segment * _STEP) % np.uint64(PARTS)
+    return _batch(words, lang, prefix, part.astype(np.int64), words.texts_of(follower), n)
 
 
 def _batch(
-    words: Words, lang: np.ndarray, prefix: pa.Array, segment: np.ndarray, following: pa.Array, n: np.ndarray
+    words: Words, lang: np.ndarray, prefix: pa.Array, part: np.ndarray, following: pa.Array, n: np.ndarray
 ) -> pa.RecordBatch:
     names = pa.array(words.names, pa.large_string())
     return pa.RecordBatch.from_pydict(
         {
             "lang": names.take(pa.array(lang, pa.int64())),
             "prefix": prefix,
-            "segment": pa.array(segment, pa.int32()),
+            "part": pa.array(part, pa.int32()),
             "next": following,
             "n": pa.array(n, pa.int64()),
         }
@@ -314,50 +324,55 @@ def _batch(
 
 
 def _as_stripes(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries merged and gathered: one row for each prefix and segment."""
+    """Entries merged and gathered: one row for each language and part."""
     flat = pa.Table.from_batches(parts)
-    keys = ["lang", "prefix", "segment", "next"]
+    keys = ["lang", "part", "prefix", "next"]
     merged = flat.group_by(keys, use_threads=False).aggregate([("n", "sum")]).combine_chunks()
     if not merged.num_rows:
         return
     column = {c: merged.column(c).chunk(0) for c in (*keys, "n_sum")}
-    coded = {c: column[c].dictionary_encode() for c in ("lang", "prefix")}
-    lang, prefix = (coded[c].indices.to_numpy().astype(np.int64) for c in ("lang", "prefix"))
-    own = lang * len(coded["prefix"].dictionary) + prefix
-    segment = column["segment"].to_numpy().astype(np.int64)
-    order = np.lexsort((segment, own))
-    own, segment = own[order], segment[order]
-    starts = np.flatnonzero(np.diff(own * SEGMENTS[0] + segment, prepend=-1))
-    taken, heads = pa.array(order), pa.array(order[starts])
-    offsets = pa.array(np.append(starts, len(own)), pa.int64())
-    whole = pa.RecordBatch.from_arrays(
+    lang, prefix = (column[c].dictionary_encode().indices.to_numpy().astype(np.int64) for c in ("lang", "prefix"))
+    part = column["part"].to_numpy()
+    order = np.lexsort((prefix, part, lang))
+    lang, part, prefix = lang[order], part[order], prefix[order]
+    rows = np.ones(len(order), bool)
+    rows[1:] = (lang[1:] != lang[:-1]) | (part[1:] != part[:-1])
+    heads = rows.copy()
+    heads[1:] |= prefix[1:] != prefix[:-1]
+    heads, rows = np.flatnonzero(heads), np.flatnonzero(rows)
+    ends = pa.array(np.append(heads, len(order)), pa.int32())
+    inner = pa.StructArray.from_arrays(
         [
-            *(column[c].take(heads) for c in ("lang", "prefix", "segment")),
-            pa.LargeListArray.from_arrays(offsets, column["next"].take(taken)),
-            pa.LargeListArray.from_arrays(offsets, column["n_sum"].take(taken)),
+            column["prefix"].take(pa.array(order[heads])).cast(pa.string()),
+            pa.ListArray.from_arrays(ends, column["next"].take(pa.array(order)).cast(pa.string())),
+            pa.ListArray.from_arrays(ends, column["n_sum"].take(pa.array(order))),
         ],
-        ["lang", "prefix", "segment", "next", "n"],
+        ["prefix", "next", "n"],
+    )
+    whole = pa.RecordBatch.from_pydict(
+        {
+            "lang": column["lang"].take(pa.array(order[rows])).cast(pa.string()),
+            "part": pa.array(part[rows], pa.int32()),
+            "stripes": pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(heads, rows), len(heads)), pa.int32()), inner),
+        }
     )
-    kinds = [pa.string(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
-    for at in range(0, whole.num_rows, 1 << 14):
-        piece = whole.slice(at, 1 << 14)
-        columns = [c.cast(t) for c, t in zip(piece.columns, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays(columns, piece.schema.names)
+    for at in range(0, whole.num_rows, 1 << 12):
+        yield whole.slice(at, 1 << 12)
 
 
 def stripes(docs: DataFrame, least: int = 30) -> DataFrame:
-    """(lang, prefix, segment, next, n): the merged entries of all stripes.
+    """(lang, part, prefix, next, n): the merged entries of all stripes.
 
     Entries of ``least`` or more occurrences are there and exact. The entry '' of the
     empty prefix counts the words without an entry, so its stripe adds up to all words.
     """
     bits = passing_slots(docs, least)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
-    schema = "lang string, prefix string, segment int, next array<string>, n array<long>"
+    schema = "lang string, part int, stripes array<struct<prefix: string, next: array<string>, n: array<long>>>"
     own = docs.select("text", "lang").mapInArrow(_stripes_of(shared, uuid.uuid4().hex), schema)
-    dealt = own.repartition("lang", "prefix", "segment")
-    entries = dealt.select("lang", "prefix", "segment", F.inline(F.arrays_zip("next", "n")))
-    return entries.groupBy("lang", "prefix", "segment", "next").agg(F.sum("n").alias("n"))
+    each = own.repartition("lang", "part").select("lang", "part", F.inline("stripes"))
+    entries = each.select("lang", "part", "prefix", F.inline(F.arrays_zip("next", "n")))
+    return entries.groupBy("lang", "part", "prefix", "next").agg(F.sum("n").alias("n"))
 
 
 def _words(phrase: str) -> Column:
