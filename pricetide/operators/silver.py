@@ -38,14 +38,17 @@ TEXT_CASTS = {
 
 def typed_projection(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Text to numbers and nested price to flat columns; malformed text is null."""
-    return records.select(
+    # each text is cast once, and the number is then looked at
+    texts = ("sale_price", "list_price", "discount")
+    numbers = records.withColumns({f"_{c}": F.col(c).try_cast("double") for c in texts})
+    return numbers.select(
         "snapshot_date",
         "item_id",
         clean_name(F.col("name")).alias("name"),
-        finite(F.col("sale_price")).alias("sale_price"),
-        finite(F.col("list_price")).alias("list_price"),
+        finite(F.col("_sale_price")).alias("sale_price"),
+        finite(F.col("_list_price")).alias("list_price"),
         F.lit(OFFER_CURRENCY).alias("offer_currency"),
-        finite(F.col("discount")).alias("discount_pct"),
+        finite(F.col("_discount")).alias("discount_pct"),
         "rating_label",
         F.col("rating_pct").try_cast("int").alias("rating_pct"),
         "store",
