@@ -41,7 +41,9 @@ SAMPLE, TOLD = 12, 6
 #: Share of neighbours that change in the last round, and the most rounds.
 SETTLED, ROUNDS = 0.05, 8
 #: Nodes of a beam, nodes expanded in a hop, nodes to enter at, and their sample.
-BEAM, EXPANDED, ENTRIES, PIVOTS = 256, 128, 16, 1_024
+BEAM, EXPANDED, ENTRIES, PIVOTS = 256, 192, 16, 1_024
+#: Least nodes, and queries, of a task: starting a Python task costs as much as these.
+TASK_NODES, TASK_QUERIES = 1_024, 32
 
 _DRAWS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _LISTS = "node long, ids array<long>, far array<float>, new array<boolean>"
@@ -151,7 +153,12 @@ def _rank(*keys: np.ndarray) -> np.ndarray:
     return np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
 
 
-def _merged(rows: DataFrame, turn: int) -> DataFrame:
+def _tasks(df: DataFrame, rows: int, least: int) -> DataFrame:
+    """Neighbouring partitions joined where they are more than the rows are worth; order within each stays."""
+    return df.coalesce(max(1, -(-rows // least)))
+
+
+def _merged(rows: DataFrame, turn: int, count: int) -> DataFrame:
     """The nearest neighbours of each node, of all lists it has, and which of them meet in the next round.
 
     One row of each node has its code.
@@ -169,6 +176,7 @@ def _merged(rows: DataFrame, turn: int) -> DataFrame:
             pick = np.zeros(len(node), bool)
             pick[order] = _rank(node[order], new[order]) < SAMPLE
             coded = np.flatnonzero(batch.column("code").is_valid().to_numpy(zero_copy_only=False))
+            coded = coded[np.argsort(every[coded])]
             own = every[coded]
             place = np.searchsorted(own, node)
             yield pa.RecordBatch.from_pydict(
@@ -182,7 +190,8 @@ def _merged(rows: DataFrame, turn: int) -> DataFrame:
                 }
             )
 
-    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, _GRAPH)
+    dealt = rows.repartition("node").sortWithinPartitions("node")
+    return _tasks(dealt, count, TASK_NODES).mapInArrow(run, _GRAPH)
 
 
 def _starting(codes: DataFrame, count: int, seed: int) -> DataFrame:
@@ -252,10 +261,11 @@ def _starting(codes: DataFrame, count: int, seed: int) -> DataFrame:
 
     dealt = codes.mapInArrow(cells, "part int, size int, cell long, side float, node long, code binary")
     order = ("part", "size", "cell", "side", "node")
-    return dealt.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(windows, _LISTS)
+    dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _tasks(dealt, count * PARTITIONS, 4 * WINDOW).mapInArrow(windows, _LISTS)
 
 
-def _met(gathered: DataFrame) -> DataFrame:
+def _met(gathered: DataFrame, count: int) -> DataFrame:
     """What nodes learn where they meet: lists of nearer neighbours. Rows stand together by node."""
 
     def flush(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -311,10 +321,10 @@ def _met(gathered: DataFrame) -> DataFrame:
         if parts:
             yield flush(parts)
 
-    return gathered.mapInArrow(run, _LISTS)
+    return _tasks(gathered, count, TASK_NODES).mapInArrow(run, _LISTS)
 
 
-def _round(graph: DataFrame, turn: int) -> DataFrame:
+def _round(graph: DataFrame, turn: int, count: int) -> DataFrame:
     """One round of joining neighbours of neighbours."""
     full = F.size("far") >= NEIGHBOURS
     bound = F.when(full, F.element_at("far", -1)).otherwise(F.lit(float("inf")).cast("float")).alias("bound")
@@ -334,7 +344,8 @@ def _round(graph: DataFrame, turn: int) -> DataFrame:
     # what is picked meets now: it is old from here on
     aged = F.zip_with("new", "pick", lambda n, p: n & ~p).alias("new")
     lists = graph.select("node", "ids", "far", aged, "code")
-    return stored(_merged(lists.unionByName(_met(gathered), allowMissingColumns=True), turn + 1), "graph")
+    told = _met(gathered, count)
+    return stored(_merged(lists.unionByName(told, allowMissingColumns=True), turn + 1, count), "graph")
 
 
 def graph_of(codes: DataFrame, seed: int = 0) -> DataFrame:
@@ -342,9 +353,9 @@ def graph_of(codes: DataFrame, seed: int = 0) -> DataFrame:
     count = codes.count()
     none = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("ids", "long"), ("far", "float"), ("new", "boolean"))]
     start = codes.select("node", *none, "code").unionByName(_starting(codes, count, seed), allowMissingColumns=True)
-    graph = stored(_merged(start, 0), "graph")
+    graph = stored(_merged(start, 0, count), "graph")
     for turn in range(ROUNDS):
-        graph = _round(graph, turn)
+        graph = _round(graph, turn, count)
         changed = graph.agg(F.sum(F.size(F.filter("new", lambda n: n)))).first()[0] or 0
         if changed <= SETTLED * NEIGHBOURS * count:
             break
@@ -443,7 +454,7 @@ def _advanced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def greedy(queries: DataFrame, links: DataFrame, codes: DataFrame, entries) -> DataFrame:
     """(q, ids): the final beam of each query of (q, node, code); node null if it is no row."""
-    spark = queries.sparkSession
+    spark, count = queries.sparkSession, queries.count()
     folder = fresh_path(spark, "seen")
     beams = stored(queries.select("q", "node", "code").mapInArrow(_entered(entries), _BEAMS), "beams")
     beams.select("q", "ids").write.parquet(f"{folder}/hop=0")
@@ -454,12 +465,12 @@ def greedy(queries: DataFrame, links: DataFrame, codes: DataFrame, entries) -> D
         asked = ahead.join(links, "node").select("q", "ids", F.lit(False).alias("seen"))
         seen = spark.read.schema("q long, ids array<long>").parquet(folder).select("q", "ids", F.lit(True).alias("seen"))
         dealt = asked.unionByName(seen).repartition("q").sortWithinPartitions("q")
-        dealt.mapInArrow(_unseen, "q long, ids array<long>").write.parquet(f"{folder}/hop={hop}")
+        _tasks(dealt, count, TASK_QUERIES).mapInArrow(_unseen, "q long, ids array<long>").write.parquet(f"{folder}/hop={hop}")
         new = spark.read.schema("q long, ids array<long>").parquet(f"{folder}/hop={hop}")
         met = new.select("q", F.explode("ids").alias("node")).join(codes, "node")
         rows = beams.drop("ahead").withColumn("node", F.lit(None).cast("long")).unionByName(met, allowMissingColumns=True)
         dealt = rows.repartition("q").sortWithinPartitions("q", "node")
-        beams = stored(dealt.mapInArrow(_advanced, _BEAMS), "beams")
+        beams = stored(_tasks(dealt, count, TASK_QUERIES).mapInArrow(_advanced, _BEAMS), "beams")
     return beams.select("q", "ids")
 
 
