@@ -47,7 +47,7 @@ PARTS = 4_096
 #: Bytes of text that are worked on at once; a text is cut only where a piece ends.
 STRETCH = 1 << 22
 #: Entries that a task holds to merge those of its stretches before they are sent.
-HELD = 1_500_000
+HELD = 300_000
 UNKNOWN_LANG = "und"
 
 _BREAK = np.zeros(256, bool)
@@ -256,6 +256,7 @@ def _stripes_of(shared, name: str):
             if held > HELD:
                 yield from _as_stripes(parts)
                 parts, held = [], 0
+                pa.default_memory_pool().release_unused()
         if parts:
             yield from _as_stripes(parts)
 
