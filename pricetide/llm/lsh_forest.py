@@ -3,9 +3,15 @@
 A signature of ``VALUES`` minima is read in several orders. In each order documents
 with a common prefix of a given depth stand together, which makes a region; all
 members of a region are candidates for each other. Depth adapts to how crowded a
-place is: documents of regions over ``REGION`` members are put into deeper and more
-orders instead, and regions still too large there are compared in blocks. A depth
-has as many orders as keep the chance to miss a pair at the threshold under 1e-5.
+place is. In a region over ``REGION`` members one member is the pivot, and every other one is
+compared with it first, so a group of n near copies costs n comparisons. Only if the
+links found so far leave a crowded region in several pieces do its members go into
+deeper and more orders, where members of one piece are not compared again; what is still
+crowded there is compared in blocks, all members with those outside of the largest piece.
+
+A pair at the threshold is missed by the first level with probability 5e-6: its 32 orders
+share no value. The 96 orders of the second draw 7 of the same 128 values each and
+depend on each other; there it is 4e-4 (``missed``).
 
 Nothing emits pairs. A region task compares signatures in place; pairs that may
 pass are given to the first order that holds them both, and only the documents
@@ -16,6 +22,8 @@ sets are one node throughout.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,8 +39,10 @@ from pricetide.llm.words import SPACE, mix, shingle_set, word_hashes
 WIDTH = 5
 VALUES = 128
 REGION = 512
-#: (depth, orders): 1 - 0.75 ** depth, to the power of orders, is 5e-6 and 1e-6.
+#: (depth, orders) of each level.
 LEVELS = ((4, 32), (7, 96))
+#: Tasks that the members of one pivot are dealt to.
+SALTS = 32
 #: Least similarity of signatures that is looked at: 4.5 deviations under the threshold.
 MARGIN = 0.58
 
@@ -50,6 +60,22 @@ def orders(level: int) -> np.ndarray:
     return np.array([draw.permutation(VALUES)[:depth] for _ in range(n)])
 
 
+def missed(level: int, similarity: float = 0.75) -> float:
+    """The chance that no order of a level holds a pair, over all signatures.
+
+    Orders that share no values are independent. Others draw their values from the same
+    signature: given how many of its values agree, each holds the pair or not by itself.
+    """
+    depth, n = LEVELS[level]
+    if depth * n == VALUES:
+        return (1 - similarity**depth) ** n
+    total = 0.0
+    for equal in range(VALUES + 1):
+        chance = math.comb(VALUES, equal) * similarity**equal * (1 - similarity) ** (VALUES - equal)
+        total += chance * (1 - math.comb(equal, depth) / math.comb(VALUES, depth)) ** n
+    return total
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 2048):
@@ -63,14 +89,20 @@ def shingles_of(text: bytes | None, width: int = WIDTH) -> np.ndarray:
 
 
 def pack(shingles: np.ndarray) -> bytes:
-    """The upper 40 bits of each hash."""
-    return np.ascontiguousarray(shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
+    return shingles.astype("<u8").tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return wide.view("<u8").ravel()
+    return np.frombuffer(data, "<u8")
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share ``percent`` of their union or more."""
+    small, large = sorted((len(a), len(b)))
+    if 100 * small < percent * large:
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (small + large - common)
 
 
 def region_keys(signatures: np.ndarray, level: int) -> np.ndarray:
@@ -82,8 +114,10 @@ def region_keys(signatures: np.ndarray, level: int) -> np.ndarray:
     return (h << np.uint64(8) | np.arange(len(places), dtype=np.uint64)).view(np.int64)
 
 
-def candidates(signatures: np.ndarray, order: int, level: int, split: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i, j, equal values) that may pass and that no earlier order holds.
+def candidates(
+    signatures: np.ndarray, kin: np.ndarray, order: int, level: int, split: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (i, j, equal values) of different pieces that may pass and that no earlier order holds.
 
     With ``split`` only pairs across that position count: the rest is another block's.
     """
@@ -96,6 +130,7 @@ def candidates(signatures: np.ndarray, order: int, level: int, split: int = 0) -
         same = (part[:, None, :] == signatures[None, :, :]).sum(2)
         i, j = np.nonzero(same >= least)
         ok = (i + at < split) & (j >= split) if split else i + at < j
+        ok &= kin[i + at] != kin[j]
         i, j = i[ok], j[ok]
         for cut in range(0, len(i), 4096):
             a, b = i[cut : cut + 4096], j[cut : cut + 4096]
@@ -157,27 +192,88 @@ def memberships(nodes: DataFrame, level: int) -> DataFrame:
 
 
 def regions(nodes: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """Members of regions of two or more as (key, block, side, node), and nodes of too large ones.
-
-    On the last level large regions are kept and dealt into blocks: their members
-    are cut into g groups by a hash, and every two groups meet in one block.
-    """
+    """Members of regions of two or more as (key, block, side, node), and (key, node) of too large ones."""
     members = memberships(nodes, level)
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     sized = stored(members.join(sizes, "key"), "regions")
-    last = level + 1 == len(LEVELS)
     small = sized.where(F.col("size") <= REGION).select("key", F.lit(0).alias("block"), F.lit(0).alias("side"), "node")
-    crowded = sized.where(F.col("size") > REGION)
-    if not last:
-        return small, crowded.select("node").distinct()
-    groups = F.ceil(F.col("size") / F.lit(REGION // 2)).cast("int")
-    dealt = crowded.withColumn("g", groups).withColumn("own", F.pmod(F.xxhash64("node"), F.col("g")).cast("int"))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    return small, sized.where(F.col("size") > REGION).select("key", "node")
+
+
+def stars(crowded: DataFrame, docs: DataFrame, level: int, width: int, percent: int) -> DataFrame:
+    """Links (a, b) of the members of crowded regions with the pivot of their region.
+
+    The pivot is the member of least hash, so regions of one group of copies have one
+    pivot in most orders, and a member is compared with it once.
+    """
+
+    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [pack(shingles_of(t, width)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_pydict(
+                {"pivot": batch.column("pivot"), "shingles": pa.array(sets, pa.binary())}
+            )
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A pivot's set comes first, then the texts that are compared with it."""
+        now, own = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            a, b = [], []
+            rows = (batch.column(c).to_pylist() for c in ("pivot", "node", "shingles"))
+            texts = batch.column("text").cast(pa.binary())
+            for at, (pivot, node, shingles) in enumerate(zip(*rows, strict=True)):
+                if shingles is not None:
+                    now, own = pivot, unpack(shingles)
+                elif now == pivot and similar(own, shingles_of(texts[at].as_py(), width), percent):
+                    a.append(pivot)
+                    b.append(node)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    draw = F.min(F.struct(F.xxhash64(F.lit(level), "node").alias("draw"), "node")).alias("least")
+    pivots = crowded.groupBy("key").agg(draw).select("key", F.col("least.node").alias("pivot"))
+    pairs = stored(crowded.join(pivots, "key").where("node <> pivot").select("node", "pivot").distinct(), "pairs")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
+    chosen = pairs.select("pivot").distinct()
+    sets = texts.withColumnRenamed("node", "pivot").join(chosen, "pivot").select("pivot", "text")
+    sets = sets.mapInArrow(full_sets, "pivot long, shingles binary")
+    # the members of one pivot are many tasks' work, each with a copy of its set
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    first = sets.select("pivot", salts, F.lit(None).cast("long").alias("node"), "shingles", F.lit(None).cast("string").alias("text"))
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt")
+    rest = texts.join(pairs, "node").select("pivot", salt, "node", F.lit(None).cast("binary").alias("shingles"), "text")
+    dealt = first.unionByName(rest).repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", F.asc_nulls_first("node"))
+    return dealt.mapInArrow(compared, "a long, b long")
+
+
+def in_pieces(crowded: DataFrame, kin: DataFrame) -> DataFrame:
+    """(key, node, kin) of the crowded regions that links leave in several pieces."""
+    marked = crowded.join(kin, "node", "left").select("key", "node", F.coalesce("component", "node").alias("kin"))
+    pieces = marked.groupBy("key").agg(F.min("kin").alias("low"), F.max("kin").alias("high")).where("low <> high")
+    return marked.join(pieces.select("key"), "key", "left_semi")
+
+
+def blocks(members: DataFrame) -> DataFrame:
+    """Crowded regions in blocks: (key, block, side, node).
+
+    Members outside of a region's largest piece are cut into groups, and so are those of that
+    piece. A block holds two groups, not both of the largest piece, so a few members of other
+    pieces cost a few copies of the region.
+    """
+    sizes = members.groupBy("key", "kin").agg(F.count("*").alias("n"))
+    regions_ = sizes.groupBy("key").agg(F.max(F.struct("n", "kin")).alias("top"), F.sum("n").alias("size"))
+    some = lambda n: F.ceil(n / F.lit(REGION // 2)).cast("int")
+    shape = regions_.select(
+        "key", F.col("top.kin").alias("main"), some(F.col("size") - F.col("top.n")).alias("few"), some(F.col("top.n")).alias("many")
+    )
+    dealt = members.join(shape, "key")
+    draw, main = F.xxhash64("node"), F.col("kin") == F.col("main")
+    group = F.when(main, F.col("few") + F.pmod(draw, F.col("many"))).otherwise(F.pmod(draw, F.col("few"))).cast("int")
+    last = F.when(main, F.col("few")).otherwise(F.col("few") + F.col("many")) - 1
+    met = dealt.withColumn("own", group).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     # A block of a group with itself has one side, others have two.
     side = F.when(low == high, 0).when(F.col("own") == low, 1).otherwise(2)
-    blocks = met.select("key", (low * F.col("g") + high).alias("block"), side.alias("side"), "node")
-    return small.unionByName(blocks), crowded.select("node").limit(0)
+    return met.select("key", (low * (F.col("few") + F.col("many")) + high).alias("block"), side.alias("side"), "node")
 
 
 def grouped(handle: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,16 +338,17 @@ def active(members: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
     def handle(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         if _one_sided(batch):
             return None
-        i, j, _ = candidates(_matrix(batch.column("signature")), _order(batch), level, _split(batch))
+        signatures, kin = _matrix(batch.column("signature")), batch.column("kin").to_numpy(zero_copy_only=False)
+        i, j, _ = candidates(signatures, kin, _order(batch), level, _split(batch))
         if not len(i):
             return None
         used = pa.array(np.unique(np.concatenate((i, j))))
-        return batch.select(["key", "block", "side", "node"]).take(used)
+        return batch.select(["key", "block", "side", "node", "kin"]).take(used)
 
-    joined = members.join(nodes.select("node", "signature"), "node")
-    dealt = joined.select("key", "block", "side", "node", "signature").repartition("key", "block")
+    joined = members.join(nodes.select("node", "signature", "kin"), "node")
+    dealt = joined.select("key", "block", "side", "node", "kin", "signature").repartition("key", "block")
     return dealt.sortWithinPartitions("key", "block", "side", "node").mapInArrow(
-        lambda batches: grouped(handle, batches), "key long, block int, side int, node long"
+        lambda batches: grouped(handle, batches), "key long, block int, side int, node long, kin long"
     )
 
 
@@ -267,7 +364,7 @@ def confirmed(found: DataFrame, docs: DataFrame, level: int, width: int, percent
             for name, text, places in zip(names, texts, batch.column("places").to_pylist(), strict=True):
                 full = shingles_of(text, width)
                 own = (name, signature(full).tobytes(), pack(full))
-                rows += [(p["key"], p["block"], p["side"], *own) for p in places]
+                rows += [(p["key"], p["block"], p["side"], *own, p["kin"]) for p in places]
                 size += len(own[2]) * len(places)
                 if size > 1 << 22:
                     yield _batch(rows)
@@ -278,7 +375,8 @@ def confirmed(found: DataFrame, docs: DataFrame, level: int, width: int, percent
     def handle(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         if _one_sided(batch):
             return None
-        i, j, same = candidates(_matrix(batch.column("signature")), _order(batch), level, _split(batch))
+        signatures, kin = _matrix(batch.column("signature")), batch.column("kin").to_numpy(zero_copy_only=False)
+        i, j, same = candidates(signatures, kin, _order(batch), level, _split(batch))
         full = [unpack(s) for s in batch.column("shingles").to_pylist()]
         parent = list(range(len(full)))
 
@@ -294,11 +392,7 @@ def confirmed(found: DataFrame, docs: DataFrame, level: int, width: int, percent
             ra, rb = root(a), root(b)
             if ra == rb:
                 continue
-            small, large = sorted((len(full[a]), len(full[b])))
-            if 100 * small < percent * large:
-                continue
-            common = len(np.intersect1d(full[a], full[b], assume_unique=True))
-            if 100 * common >= percent * (small + large - common):
+            if similar(full[a], full[b], percent):
                 parent[ra] = rb
                 links.append((a, b))
         if not links:
@@ -307,10 +401,10 @@ def confirmed(found: DataFrame, docs: DataFrame, level: int, width: int, percent
         a, b = np.array(links).T
         return pa.RecordBatch.from_pydict({"a": ids[a], "b": ids[b]})
 
-    places = found.groupBy("node").agg(F.collect_list(F.struct("key", "block", "side")).alias("places"))
+    places = found.groupBy("node").agg(F.collect_list(F.struct("key", "block", "side", "kin")).alias("places"))
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     joined = texts.join(places, "node").select("node", "text", "places")
-    schema = "key long, block int, side int, node long, signature binary, shingles binary"
+    schema = "key long, block int, side int, node long, signature binary, shingles binary, kin long"
     dealt = joined.mapInArrow(sets, schema).repartition("key", "block").sortWithinPartitions("key", "block", "side", "node")
     return dealt.mapInArrow(lambda batches: grouped(handle, batches), "a long, b long")
 
@@ -323,6 +417,7 @@ _PLACED = pa.schema(
         ("node", pa.int64()),
         ("signature", pa.binary()),
         ("shingles", pa.binary()),
+        ("kin", pa.int64()),
     ]
 )
 
@@ -344,16 +439,26 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 75) -> D
     made = stored(sketches(docs, width), "sketches")
     same = made.where("digest is not null and doc_id is not null").groupBy("digest")
     nodes = stored(same.agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "nodes")
-    links, rest = None, nodes
+    rest = nodes.withColumn("kin", F.col("node"))
+    links: list[DataFrame] = []
+    confirm = lambda members, level: confirmed(active(members, rest, level), docs, level, width, percent)
     for level in range(len(LEVELS)):
-        members, crowded = regions(rest, level)
-        found = confirmed(active(members, rest, level), docs, level, width, percent)
-        links = found if links is None else links.unionByName(found)
-        if level + 1 < len(LEVELS):
-            crowded = stored(crowded, "crowded")
-            if crowded.isEmpty():
-                break
-            rest = stored(rest.join(crowded, "node", "left_semi"), "nodes")
+        small, crowded = regions(rest, level)
+        links.append(confirm(small, level))
+        if crowded.isEmpty():
+            break
+        links.append(stored(stars(crowded, docs, level, width, percent), "stars"))
+        found = links[1::2]  # the stars of all levels so far
+        kin = components(functools.reduce(DataFrame.unionByName, found))
+        crowded = stored(in_pieces(crowded, kin), "pieces")
+        if crowded.isEmpty():
+            break
+        # a node has one kin, whatever region it is in
+        marked = crowded.select("node", "kin").distinct()
+        rest = stored(rest.drop("kin").join(marked, "node"), "nodes")
+        if level + 1 == len(LEVELS):
+            links.append(confirm(blocks(crowded), level))
+    links = functools.reduce(DataFrame.unionByName, links)
     of_node = components(links)
     groups = nodes.select("digest", "node").join(of_node, "node", "left")
     groups = groups.select("digest", F.coalesce("component", "node").alias("component_id"))

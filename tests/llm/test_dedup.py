@@ -89,9 +89,55 @@ def test_near_duplicates_of_odd_rows(docs_of):
 
 
 def test_levels_miss_few_pairs():
+    assert lsh_forest.missed(0) < 1e-5 and lsh_forest.missed(1) < 5e-4
     for level, (depth, n) in enumerate(lsh_forest.LEVELS):
-        assert (1 - 0.75**depth) ** n < 1e-5
         assert lsh_forest.orders(level).shape == (n, depth)
+        assert all(len(set(o)) == depth for o in lsh_forest.orders(level).tolist())
+    # pairs of signatures that agree in each value with the chance of 0.75
+    draw = np.random.default_rng(5)
+    equal = draw.random((100_000, lsh_forest.VALUES)) < 0.75
+    held = np.zeros(len(equal), bool)
+    for order in lsh_forest.orders(1):
+        held |= equal[:, order].all(axis=1)
+    assert abs((~held).mean() - lsh_forest.missed(1)) < 2e-4
+
+
+def near_copies(n, seed=3):
+    draw = random.Random(seed)
+    base = [f"w{draw.randint(0, 10**6)}" for _ in range(200)]
+    for i in range(n):
+        own = list(base)
+        for _ in range(draw.choice([1, 2])):
+            own[draw.randrange(200)] = f"x{i}-{draw.randint(0, 10**6)}"
+        yield " ".join(own)
+
+
+def test_a_large_group_of_near_copies_costs_its_size(docs_of, monkeypatch):
+    """Rows of the second level come only from regions in several pieces."""
+    monkeypatch.setattr(lsh_forest, "REGION", 64)
+    made = []
+    plain = lsh_forest.active
+    monkeypatch.setattr(lsh_forest, "active", lambda *a: made.append(plain(*a)) or made[-1])
+    texts = [*near_copies(400), *variants(4)]
+    found = lsh_forest.near_duplicates(docs_of(texts)).collect()
+    assert sorted(map(tuple, found)) == near_expected(list(enumerate(texts)))
+    assert sum(df.count() for df in made) < 4 * len(texts)
+
+
+def test_blocks_hold_every_pair_but_those_of_the_largest_piece(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "REGION", 8)
+    rows = [(1, n, 0 if n < 40 else n) for n in range(51)] + [(2, n, n) for n in range(20)]
+    met = {}
+    for r in lsh_forest.blocks(spark.createDataFrame(rows, "key long, node long, kin long")).collect():
+        met.setdefault((r.key, r.block), []).append((r.side, r.node))
+    pairs = {}
+    for (key, _), own in met.items():
+        for (x, a), (y, b) in itertools.combinations(sorted(own), 2):
+            if x == y == 0 or x != y:
+                pairs[key, *sorted((a, b))] = pairs.get((key, *sorted((a, b))), 0) + 1
+    wanted = {(1, a, b) for a, b in itertools.combinations(range(51), 2) if b >= 40}
+    wanted |= {(2, a, b) for a, b in itertools.combinations(range(20), 2)}
+    assert set(pairs) == wanted and set(pairs.values()) == {1}
 
 
 def cut_expected(rows, length):
