@@ -507,13 +507,10 @@ def rank_tags_joined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bucketed_records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Records written in buckets by (snapshot, item), as the sides of a join.
-
-    The dedupe has dealt them by these keys already, into as many parts.
-    """
+    """Records written in buckets by (snapshot, item), as the sides of a join."""
     root = f"{fresh_path(spark, 'buckets')}/records"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets.write_buckets(unlabelled(spark, sf), root, buckets=parts, dealt=True)
+    buckets.write_buckets(unlabelled(spark, sf), root, buckets=parts)
     (sides,) = buckets.together(spark, [root, root])
     return sides
 

@@ -32,14 +32,11 @@ def write_buckets(
     snapshots: Iterable[str | date] = (),
     buckets: int = 64,
     keys: Sequence[str] = ITEM_KEYS,
-    dealt: bool = False,
     checks: Iterable[Check] = (),
 ) -> Written:
     """Replace snapshots of a bucketed table: written, audited and published like others.
 
-    The one exchange of the write deals the rows, each bucket to one task and file. With
-    ``dealt`` the rows come as an exchange by the keys left them, and it is skipped; if
-    they do not, buckets have more files and joins are right all the same.
+    The one exchange of the write deals the rows, each bucket to one task and file.
     """
     folder = manifest.new_folder()
     seen = Observation()
@@ -49,7 +46,7 @@ def write_buckets(
         F.collect_set(F.col(PARTITION).cast("string")).alias("dates"),
         F.count_if(F.col(PARTITION).isNull()).alias("undated"),
     )
-    rows = counted if dealt else counted.repartition(buckets, *keys)
+    rows = counted.repartition(buckets, *keys)  # else every task would write a file a bucket
     name = _entry()
     try:
         writer = rows.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
