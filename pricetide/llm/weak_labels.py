@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.words import LOWER, OTHER, SPACE, mix, prefix_sums, span_hashes, spans, word_hashes
@@ -185,7 +185,12 @@ def one_of_each(found: list[np.ndarray]) -> list[int]:
 
 
 def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, seed: int = 0) -> Scorer:
-    """Train on the sample. Labels are votes of one more labeller, which abstains where they are null."""
+    """Train on the sample. Labels are votes of one more labeller, which abstains where they are null.
+
+    Of documents that share an id one text is looked at, so ``sample`` bounds what is
+    collected; of labels that share one, the worse counts. Rows without an id are not sampled.
+    Empty tables give a scorer that rejects nothing on its own.
+    """
     order = F.xxhash64(F.lit(seed), "doc_id")
     known: dict[int, list[int]] = {}
     if labels is not None:
@@ -202,6 +207,9 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, seed: i
         ids = texts.select("doc_id").distinct().orderBy(order, "doc_id").limit(sample)
         picked = texts.join(F.broadcast(ids), "doc_id", "left_semi")
 
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    picked = picked.withColumn("copy", F.row_number().over(first)).where("copy = 1").drop("copy")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column("text").cast(pa.binary()).to_pylist()
