@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricetide.llm.nn_descent import whole_groups
 from pricetide.llm.store import stored
 from pricetide.llm.words import LOWER, mix, prefix_sums, span_hashes
 
@@ -42,12 +43,13 @@ SLOT_BITS = 27
 _LOW_BITS = 19  # slots of one merge group: 512 Ki counters
 #: Segments of a stripe, by the words of its prefix; the empty one is dealt word by word.
 SEGMENTS = (1 << 32, 8, 1, 1)
-#: Parts that the segments of a language are dealt into. A task sends one row a part.
+#: Parts that the segments of a language are dealt into. A task sends one row a part, and the
+#: merged entries of one part are held by one task.
 PARTS = 4_096
 #: Bytes of text that are worked on at once; a text is cut only where a piece ends.
 STRETCH = 1 << 22
-#: Entries that a task holds to merge those of its stretches before they are sent.
-HELD = 300_000
+#: Entries, and words, that a task holds to merge those of its stretches before they are sent.
+HELD, KNOWN = 3_000_000, 1_000_000
 UNKNOWN_LANG = "und"
 
 _BREAK = np.zeros(256, bool)
@@ -93,9 +95,6 @@ class Words:
     def lang_of(self, number: np.ndarray) -> np.ndarray:
         return number // max(1, len(self.texts))
 
-    def texts_of(self, number: np.ndarray) -> pa.Array:
-        return self.texts.take(pa.array(number % max(1, len(self.texts)))).cast(pa.large_string())
-
     def runs(self, k: int) -> np.ndarray:
         """The places where a run of ``k`` words of one piece starts."""
         n = len(self.number) - k + 1
@@ -234,146 +233,211 @@ def _bits_of(name: str, packed: dict[tuple[int, int], bytes]) -> list[np.ndarray
     return _known_bits[name]
 
 
-def _joined_text(words: Words, prefix: list[np.ndarray]) -> pa.Array:
-    columns = [words.texts_of(p) for p in prefix]
-    return pc.binary_join_element_wise(*columns, pa.scalar(" ", pa.large_string())) if len(columns) > 1 else columns[0]
-
-
 def _stripes_of(shared, name: str):
-    """Stripes of the texts of a task: (lang, part, stripes of (prefix, next, n)).
+    """Stripes of the texts of a task: (key, lang, stripes of (prefix, next, n)).
 
     In the stripe of the empty prefix, next '' counts the words without an entry.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _bits_of(name, shared.value)
-        parts: list[pa.RecordBatch] = []
-        held = 0
+        held = Entries()
         for words in _stretches(batches):
-            own = list(_entries(words, bits))
-            parts += own
-            held += sum(p.num_rows for p in own)
-            if held > HELD:
-                yield from _as_stripes(parts)
-                parts, held = [], 0
-                pa.default_memory_pool().release_unused()
-        if parts:
-            yield from _as_stripes(parts)
+            held.add(words, bits)
+            if held.full():
+                yield from held.stripes()
+                held = Entries()
+        yield from held.stripes()
 
     return run
 
 
-def _entries(words: Words, bits: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """The entries of one stretch of text, by the number of words of the prefix."""
-    n_words = len(words.number)
-    often = np.zeros((LONGEST + 2, n_words + LONGEST), bool)
-    for k in range(1, LONGEST + 1):
-        places = words.runs(k)
-        if k > 1:
-            places = places[often[k - 1, places] & often[k - 1, places + 1]]
-        slots = words.slots(places, k)
-        hit = (bits[k][slots >> np.uint32(3)] >> (slots & np.uint32(7)).astype(np.uint8)) & 1
-        often[k, places[hit == 1]] = True
-    known = often[1, :n_words]
-    used, n = np.unique(words.number[known], return_counts=True)
-    none = pa.array([""] * len(used), pa.large_string())
-    yield _flat(words, 0, words.lang_of(used), none, np.zeros(len(used), np.uint64), used, n)
-    rest = np.bincount(words.lang[~known], minlength=len(words.names))
-    lang = np.flatnonzero(rest)
-    empty = pa.array([""] * len(lang), pa.large_string())
-    yield _batch(words, lang, empty, lang % PARTS, empty, rest[lang])
-    number = np.append(words.number, np.zeros(LONGEST, np.int64))
-    size = len(words.hashes) + 1
-    key = number.copy()
-    for k in range(1, LONGEST):
-        places = np.flatnonzero(often[k + 1, :n_words])
-        if not len(places):
-            break
-        # prefixes of k words, numbered anew: exact, and small enough to be joined to a word
-        if k > 1:
-            key[places] = key[places] * size + number[places + k - 1]
-        _, first, own = np.unique(key[places], return_index=True, return_inverse=True)
-        pairs, n = np.unique(own * size + number[places + k], return_counts=True)
-        of = places[first]
-        prefix = _joined_text(words, [number[of + i] for i in range(k)]).take(pa.array(pairs // size))
-        drawn = words.run_hashes(of, k)[pairs // size]
-        yield _flat(words, k, words.lang[of][pairs // size], prefix, drawn, pairs % size, n)
-        key[places] = own
-
-
-def _flat(
-    words: Words, k: int, lang: np.ndarray, prefix: pa.Array, drawn: np.ndarray, follower: np.ndarray, n: np.ndarray
-) -> pa.RecordBatch:
-    segment = words.hashes[follower] % np.uint64(SEGMENTS[k])
-    part = mix(drawn + segment * _STEP) % np.uint64(PARTS)
-    return _batch(words, lang, prefix, part.astype(np.int64), words.texts_of(follower), n)
-
-
-def _batch(
-    words: Words, lang: np.ndarray, prefix: pa.Array, part: np.ndarray, following: pa.Array, n: np.ndarray
-) -> pa.RecordBatch:
-    names = pa.array(words.names, pa.large_string())
-    return pa.RecordBatch.from_pydict(
-        {
-            "lang": names.take(pa.array(lang, pa.int64())),
-            "prefix": prefix,
-            "part": pa.array(part, pa.int32()),
-            "next": following,
-            "n": pa.array(n, pa.int64()),
-        }
-    )
-
-
-def _as_stripes(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries merged and gathered: one row for each language and part."""
-    flat = pa.Table.from_batches(parts)
-    keys = ["lang", "part", "prefix", "next"]
-    merged = flat.group_by(keys, use_threads=False).aggregate([("n", "sum")]).combine_chunks()
-    if not merged.num_rows:
-        return
-    column = {c: merged.column(c).chunk(0) for c in (*keys, "n_sum")}
-    lang, prefix = (column[c].dictionary_encode().indices.to_numpy().astype(np.int64) for c in ("lang", "prefix"))
-    part = column["part"].to_numpy()
-    order = np.lexsort((prefix, part, lang))
-    lang, part, prefix = lang[order], part[order], prefix[order]
-    rows = np.ones(len(order), bool)
-    rows[1:] = (lang[1:] != lang[:-1]) | (part[1:] != part[:-1])
-    heads = rows.copy()
-    heads[1:] |= prefix[1:] != prefix[:-1]
-    heads, rows = np.flatnonzero(heads), np.flatnonzero(rows)
-    ends = pa.array(np.append(heads, len(order)), pa.int32())
-    inner = pa.StructArray.from_arrays(
-        [
-            column["prefix"].take(pa.array(order[heads])).cast(pa.string()),
-            pa.ListArray.from_arrays(ends, column["next"].take(pa.array(order)).cast(pa.string())),
-            pa.ListArray.from_arrays(ends, column["n_sum"].take(pa.array(order))),
-        ],
-        ["prefix", "next", "n"],
-    )
-    whole = pa.RecordBatch.from_pydict(
-        {
-            "lang": column["lang"].take(pa.array(order[rows])).cast(pa.string()),
-            "part": pa.array(part[rows], pa.int32()),
-            "stripes": pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(heads, rows), len(heads)), pa.int32()), inner),
-        }
-    )
-    for at in range(0, whole.num_rows, 1 << 12):
-        yield whole.slice(at, 1 << 12)
+class Entries:
+    """Entries of the texts of a task: words by numbers of the task, prefix and follower, and counts."""
+
+    def __init__(self) -> None:
+        self.number: dict[tuple[str, bytes], int] = {}
+        self.langs: list[str] = []
+        self.hashes: list[np.ndarray] = []
+        self.rows: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size, self.merged_size = 0, 0
+
+    def full(self) -> bool:
+        if self.size > 2 * max(self.merged_size, HELD // 4):
+            self._merge()
+        return self.size > HELD or len(self.number) > KNOWN
+
+    def add(self, words: Words, bits: list[np.ndarray]) -> None:
+        n_words = len(words.number)
+        often = np.zeros((LONGEST + 2, n_words + LONGEST), bool)
+        for k in range(1, LONGEST + 1):
+            places = words.runs(k)
+            if k > 1:
+                places = places[often[k - 1, places] & often[k - 1, places + 1]]
+            slots = words.slots(places, k)
+            hit = (bits[k][slots >> np.uint32(3)] >> (slots & np.uint32(7)).astype(np.uint8)) & 1
+            often[k, places[hit == 1]] = True
+        known = often[1, :n_words]
+        used, n = np.unique(words.number[known], return_counts=True)
+        own = np.full(len(words.hashes) + 1, -1, np.int32)
+        own[used] = self._numbers(words, used)
+        self._put([own[used]], n)
+        rest = np.bincount(words.lang[~known], minlength=len(words.names))
+        for lang in np.flatnonzero(rest).tolist():
+            self._put([self._number(words.names[lang], b"", np.uint64(0))], rest[lang : lang + 1])
+        number = np.append(words.number, np.zeros(LONGEST, np.int64))
+        size = len(words.hashes) + 1
+        key = number.copy()
+        for k in range(1, LONGEST):
+            places = np.flatnonzero(often[k + 1, :n_words])
+            if not len(places):
+                break
+            # prefixes of k words, numbered anew: exact, and small enough to be joined to a word
+            if k > 1:
+                key[places] = key[places] * size + number[places + k - 1]
+            _, first, prefix = np.unique(key[places], return_index=True, return_inverse=True)
+            pairs, n = np.unique(prefix * size + number[places + k], return_counts=True)
+            of = places[first][pairs // size]
+            self._put([*(own[number[of + i]] for i in range(k)), own[pairs % size]], n)
+            key[places] = prefix
+
+    def _number(self, lang: str, text: bytes, hashed: np.uint64) -> np.ndarray:
+        at = self.number.setdefault((lang, text), len(self.number))
+        if at == len(self.langs):
+            self.langs.append(lang)
+            self.hashes.append(np.array([hashed], np.uint64))
+        return np.array([at], np.int32)
+
+    def _numbers(self, words: Words, used: np.ndarray) -> np.ndarray:
+        texts = words.texts.take(pa.array(used % max(1, len(words.texts)))).to_pylist()
+        langs = [words.names[i] for i in words.lang_of(used).tolist()]
+        before = len(self.number)
+        found = [self.number.setdefault(pair, len(self.number)) for pair in zip(langs, texts, strict=True)]
+        new = [i for i, at in enumerate(found) if at >= before]
+        self.langs += [langs[i] for i in new]
+        self.hashes.append(words.hashes[used[new]] if new else np.zeros(0, np.uint64))
+        return np.array(found, np.int32)
+
+    def _put(self, columns: list[np.ndarray], n: np.ndarray) -> None:
+        rows = np.full((len(n), LONGEST), -1, np.int32)
+        for i, c in enumerate(columns):
+            rows[:, i] = c
+        self.rows.append((rows, n.astype(np.int64)))
+        self.size += len(n)
+
+    def _merge(self) -> tuple[np.ndarray, np.ndarray]:
+        rows, n = (np.concatenate(c) for c in zip(*self.rows, strict=True))
+        pair = (rows.astype(np.int64) + 1).astype(np.uint64)
+        pair = pair[:, 0::2] << np.uint64(32) | pair[:, 1::2]
+        order = np.lexsort((pair[:, 1], pair[:, 0]))
+        pair = pair[order]
+        first = np.ones(len(order), bool)
+        first[1:] = (pair[1:] != pair[:-1]).any(axis=1)
+        starts = np.flatnonzero(first)
+        rows, n = rows[order[starts]], np.add.reduceat(n[order], starts)
+        self.rows = [(rows, n)]
+        self.size = self.merged_size = len(n)
+        return rows, n
+
+    def stripes(self) -> Iterator[pa.RecordBatch]:
+        """One row for each language and part."""
+        if not self.size:
+            return
+        rows, n = self._merge()
+        hashes = np.concatenate(self.hashes)
+        texts = pa.array([t for _, t in self.number], pa.large_binary()).cast(pa.large_string())
+        langs, lang_of = np.unique(np.array(self.langs, object).astype(str), return_inverse=True)
+        k = (rows >= 0).sum(axis=1) - 1
+        follower = rows[np.arange(len(rows)), k]
+        prefix = rows.copy()
+        prefix[np.arange(len(rows)), k] = -1
+        drawn = k.astype(np.uint64)
+        for i in range(LONGEST - 1):
+            own = prefix[:, i] >= 0
+            drawn[own] = mix(drawn[own] * _STEP + hashes[prefix[own, i]])
+        segment = hashes[follower] % np.array(SEGMENTS, np.uint64)[k]
+        part = (mix(drawn + segment * _STEP) % np.uint64(PARTS)).astype(np.int64)
+        lang = lang_of[follower]
+        order = np.lexsort((prefix[:, 2], prefix[:, 1], prefix[:, 0], part, lang))
+        prefix, follower, n, part, lang = prefix[order], follower[order], n[order], part[order], lang[order]
+        row = np.ones(len(order), bool)
+        row[1:] = (lang[1:] != lang[:-1]) | (part[1:] != part[:-1])
+        head = row.copy()
+        head[1:] |= (prefix[1:] != prefix[:-1]).any(axis=1)
+        row, head = np.flatnonzero(row), np.flatnonzero(head)
+        ends = np.append(head, len(order))
+        at = np.append(np.searchsorted(head, row), len(head))
+        seeds = np.array([xxhash.xxh64_intdigest(x.encode()) for x in langs.tolist()], np.uint64)
+        keys = (seeds[lang[row]] & np.uint64((1 << 62) - 1)).astype(np.int64) // PARTS * PARTS + part[row]
+        for x in range(0, len(row), 1 << 12):
+            y = min(x + (1 << 12), len(row))
+            a, b = at[x], at[y]  # stripes of these rows
+            c, d = ends[a], ends[b]  # and their entries
+            lists = pa.array(ends[a : b + 1] - c, pa.int32())
+            inner = pa.StructArray.from_arrays(
+                [
+                    self._text(texts, prefix[head[a:b]]),
+                    pa.ListArray.from_arrays(lists, texts.take(pa.array(follower[c:d])).cast(pa.string())),
+                    pa.ListArray.from_arrays(lists, pa.array(n[c:d])),
+                ],
+                ["prefix", "next", "n"],
+            )
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "key": pa.array(keys[x:y]),
+                    "lang": pa.array(langs[lang[row[x:y]]].tolist(), pa.string()),
+                    "stripes": pa.ListArray.from_arrays(pa.array(at[x : y + 1] - a, pa.int32()), inner),
+                }
+            )
+
+    @staticmethod
+    def _text(texts: pa.Array, prefix: np.ndarray) -> pa.Array:
+        """Prefixes as texts, words apart by a space; the empty one is an empty text."""
+        out = np.full(len(prefix), "", object)
+        for k in range(1, LONGEST):
+            own = np.flatnonzero((prefix >= 0).sum(axis=1) == k)
+            if len(own):
+                columns = [texts.take(pa.array(prefix[own, i])) for i in range(k)]
+                joined = pc.binary_join_element_wise(*columns, pa.scalar(" ", pa.large_string())) if k > 1 else columns[0]
+                out[own] = joined.to_numpy(zero_copy_only=False)
+        return pa.array(out, pa.string())
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, prefix, next, n): stripes of equal prefixes merged entry by entry, part by part."""
+    for batch in whole_groups(batches, ("key",), 4_000):
+        stripes_ = batch.column("stripes")
+        inner = stripes_.flatten()
+        prefix, following, n = (inner.field(c) for c in ("prefix", "next", "n"))
+        of_row = np.repeat(np.arange(batch.num_rows), stripes_.value_lengths().to_numpy(zero_copy_only=False))
+        sizes = following.value_lengths().to_numpy(zero_copy_only=False)
+        of_stripe = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+        flat = pa.table(
+            {
+                "lang": batch.column("lang").take(pa.array(np.repeat(of_row, sizes))).dictionary_encode(),
+                "prefix": prefix.take(of_stripe).cast(pa.large_string()),
+                "next": following.flatten().cast(pa.large_string()),
+                "n": n.flatten(),
+            }
+        )
+        found = flat.group_by(["lang", "prefix", "next"], use_threads=False).aggregate([("n", "sum")])
+        for piece in found.to_batches(max_chunksize=1 << 14):
+            columns = [piece.column(c).cast(pa.string()) for c in ("lang", "prefix", "next")]
+            yield pa.RecordBatch.from_arrays([*columns, piece.column("n_sum")], ["lang", "prefix", "next", "n"])
 
 
 def stripes(docs: DataFrame, least: int = 30) -> DataFrame:
-    """(lang, part, prefix, next, n): the merged entries of all stripes.
+    """(lang, prefix, next, n): the merged entries of all stripes.
 
     Entries of ``least`` or more occurrences are there and exact. The entry '' of the
     empty prefix counts the words without an entry, so its stripe adds up to all words.
     """
     bits = passing_slots(docs, least)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
-    schema = "lang string, part int, stripes array<struct<prefix: string, next: array<string>, n: array<long>>>"
+    schema = "key long, lang string, stripes array<struct<prefix: string, next: array<string>, n: array<long>>>"
     own = docs.select("text", "lang").mapInArrow(_stripes_of(shared, uuid.uuid4().hex), schema)
-    each = own.repartition("lang", "part").select("lang", "part", F.inline("stripes"))
-    entries = each.select("lang", "part", "prefix", F.inline(F.arrays_zip("next", "n")))
-    return entries.groupBy("lang", "part", "prefix", "next").agg(F.sum("n").alias("n"))
+    dealt = own.repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(_merged, "lang string, prefix string, next string, n long")
 
 
 def _words(phrase: str) -> Column:

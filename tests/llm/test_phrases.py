@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +107,37 @@ def test_ties_end_at_the_phrase_in_byte_order(spark):
     rows = [("en", "z é. z é. é z. é z. a b. a b. ")]
     got = found(spark.createDataFrame(rows, "lang string, text string"), least=2)
     assert [r[2] for r in got] == [r[2] for r in brute_force(rows, 2, 99)]
+
+
+def test_entries_of_many_stretches_are_merged_and_sent_in_parts(monkeypatch):
+    monkeypatch.setattr(stripes, "STRETCH", 200)
+    monkeypatch.setattr(stripes, "HELD", 60)
+    rows = list(texts(11, 80, ["a", "b", "c", "ü", "dd"]))
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    every = [np.full(1 << (stripes.SLOT_BITS - 3), 255, np.uint8)] * (stripes.LONGEST + 1)
+    sent, held, flushes = [], stripes.Entries(), 0
+    for words in stripes._stretches(iter([batch])):
+        held.add(words, every)
+        if held.full():
+            sent += list(held.stripes())
+            held, flushes = stripes.Entries(), flushes + 1
+    sent += list(held.stripes())
+    assert flushes > 2
+    whole = pa.Table.from_batches(sent).sort_by("key").combine_chunks().to_batches()
+    got, per_key = Counter(), {}
+    for out in stripes._merged(iter(whole)):
+        for r in out.to_pylist():
+            assert (r["lang"], r["prefix"], r["next"]) not in got  # one entry of each
+            got[r["lang"], r["prefix"], r["next"]] += r["n"]
+    for b in whole:
+        for key, lang in zip(b.column("key").to_pylist(), b.column("lang").to_pylist(), strict=True):
+            per_key.setdefault(key, set()).add(lang)
+    assert all(len(langs) == 1 for langs in per_key.values())
+    expected = Counter()
+    for lang, text in rows:
+        for piece in BREAK.split(lower(text or "")):
+            words = [w for w in GAP.split(piece) if w]
+            for i in range(len(words)):
+                for k in range(min(4, len(words) - i)):
+                    expected[lang or "und", " ".join(words[i : i + k]), words[i + k]] += 1
+    assert got == expected
