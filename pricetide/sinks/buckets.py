@@ -12,8 +12,9 @@ folder is written or read and dropped at once; the files and plans that use them
 
 from __future__ import annotations
 
+import functools
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -106,3 +107,15 @@ def together(
             wanted = [F.lit(d).cast("date") for d in dates]
             scans.append(scan(spark, f"{root}/{folder}", schema, m.layout).filter(F.col(PARTITION).isin(*wanted)))
         yield tuple(scans)
+
+
+def joined(
+    spark: SparkSession,
+    roots: Sequence[str],
+    join: Callable[..., DataFrame],
+    snapshots: Sequence[str] | None = None,
+    schemas: Sequence[StructType | None] | None = None,
+) -> DataFrame | None:
+    """``join`` of the tables, group by group without an exchange; None if they share no snapshot."""
+    parts = [join(*sides) for sides in together(spark, roots, snapshots, schemas)]
+    return functools.reduce(DataFrame.unionByName, parts) if parts else None

@@ -189,11 +189,13 @@ def test_replaced_snapshots_of_a_bucketed_table(spark, tmp_path):
     assert rows(tables.read_snapshot(spark, root, str(D2))) == rows(changed.where(F.col("snapshot_date") == F.lit(D2)))
     groups = [(a, b) for a, b in buckets.together(spark, [root, other])]
     assert len(groups) == 2  # D1 of one run, D2 of two
-    joined = [a.join(b.withColumnRenamed("v", "w"), ["snapshot_date", "item_id"]) for a, b in groups]
+    join = lambda a, b: a.join(b.withColumnRenamed("v", "w"), ["snapshot_date", "item_id"])
+    joined = buckets.joined(spark, [root, other], join)
     plain = tables.read_table(spark, root).join(
         tables.read_table(spark, other).withColumnRenamed("v", "w"), ["snapshot_date", "item_id"]
     )
-    assert rows(joined[0].unionByName(joined[1])) == rows(plain)
+    assert rows(joined) == rows(plain)
+    assert buckets.joined(spark, [root, other], join, [str(D3)]) is None
     with pytest.raises(lake.Refused, match="other snapshots"):
         lake.replace_snapshots(changed.where(F.col("snapshot_date") == F.lit(D3)), root)
     assert whole(spark, root) == expected
