@@ -241,6 +241,10 @@ FINAL = {
     "bronze_lineage": f"""
         SELECT {DEAL_COLUMNS}, 'bronze_raw' AS layer, {RUN} FROM deals
     """,
+    "enriched_lineage": f"""
+        SELECT snapshot_date, item_id, name, sale_price, rating_label, store,
+          'bronze_enriched' AS layer, {RUN} FROM records
+    """,
     "read_snapshot": """
         SELECT * FROM items WHERE snapshot_date = DATE '1998-06-01'
     """,

@@ -143,6 +143,16 @@ def bronze_lineage(spark: SparkSession, sf: str) -> DataFrame:
     return plain(tables.read_table(spark, root, stamped.schema, "json"))
 
 
+@register
+def enriched_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Records stamped as the enriched layer, written and read back."""
+    kept = ("snapshot_date", "item_id", "name", "sale_price", "rating_label", "store")
+    stamped = lineage.stamp_lineage(records(spark, sf).select(*kept), RUN, "bronze_enriched")
+    root = fresh_path(spark, "enriched")
+    lake.write_bronze(stamped, root, fmt="parquet")
+    return plain(tables.read_table(spark, root))
+
+
 @register
 def read_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     all_items = items(spark, sf)

@@ -40,3 +40,12 @@ def matches_like(name: Column, text: str) -> Column:
 def matches_literal(name: Column, text: str) -> Column:
     """Case-insensitive substring, no wildcards."""
     return F.contains(F.lower(name), F.lower(F.lit(text)))
+
+
+def natural_order(name: Column) -> Column:
+    """A text that sorts by the numbers in ``name``: page 2 comes before page 10.
+
+    Every run of digits is padded to 18 of them; of longer ones the last 18 count.
+    """
+    padded = F.regexp_replace(name, r"(\d+)", "0" * 18 + "$1")
+    return F.regexp_replace(padded, r"\d*(\d{18})(?!\d)", "$1")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide import schemas
+from pricetide.functions.text import natural_order
 from pricetide.operators import checks, conform, dedupe, enrich, gold, lineage, silver
 from pricetide.sinks import jdbc, lake
 from pricetide.sinks.buckets import write_buckets
@@ -54,6 +55,8 @@ def run_bronze(
         known = ledger.entered(spark, f"{root}/bronze/ledger", snapshot)
         if ledger.pending(files, known).isEmpty() and ledger.gone(files, known).isEmpty():
             return {"deals": 0, "records": 0}
+    # files arrive in the order of the numbers in their names: page 2 before page 10
+    numbered = lambda df: df.withColumn("ord1", natural_order(F.col("ord1")))
     listing = lambda name: ledger.paths(listed, name) or folders[name]
 
     landed_deals = landed.read_deals(spark, listing("deals"), lines, keep_bad=True)
@@ -63,7 +66,7 @@ def run_bronze(
     all_deals = tables.read_snapshot(
         spark, f"{root}/bronze/deals", snapshot, stamped.schema, "json"
     ).select(*landed_deals.columns, "snapshot_date")
-    deals = landed.readable(all_deals)
+    deals = numbered(landed.readable(all_deals))
     bad = landed.unreadable(all_deals, "deals")
 
     # Dimensions are written first: the joins then see plain scans of known size,
@@ -74,7 +77,7 @@ def run_bronze(
         lake.replace_table(pairs, landed_stores)
         pairs = tables.read_table(spark, landed_stores)
         bad = bad.unionByName(landed.unreadable(pairs, "stores"))
-        labelled = enrich.store_dimension(landed.readable(pairs), ["ord1", "ord2"])
+        labelled = enrich.store_dimension(numbered(landed.readable(pairs)), ["ord1", "ord2"])
         lake.replace_table(labelled, f"{root}/bronze/stores/{snapshot}")
         labels = tables.read_table(spark, f"{root}/bronze/stores/{snapshot}")
     else:
@@ -84,7 +87,7 @@ def run_bronze(
     parsed = tables.read_table(spark, landed_details)
     bad = bad.unionByName(landed.unreadable(parsed, "details"))
     last = dedupe.keep_last(
-        landed.readable(parsed).withColumn("snapshot_date", day), dedupe.ITEM_KEYS, dedupe.ARRIVAL
+        numbered(landed.readable(parsed)).withColumn("snapshot_date", day), dedupe.ITEM_KEYS, dedupe.ARRIVAL
     ).drop(*dedupe.ARRIVAL, "snapshot_date")
     lake.replace_table(last, f"{root}/bronze/details/{snapshot}")
     details = tables.read_table(spark, f"{root}/bronze/details/{snapshot}").withColumn("snapshot_date", day)
@@ -243,7 +246,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument(
         "--landing",
         help="folder with deals, stores and details; {day} in it stands for the snapshot, and must "
-        "be there for several snapshots. Files arrive in the order of their names as text",
+        "be there for several snapshots. Files arrive in the order of their names, numbers as numbers",
     )
     parser.add_argument("--run-id", default="")
     parser.add_argument("--default-stores", action="store_true")

@@ -4,8 +4,10 @@ import json
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from pricetide import schemas
+from pricetide.functions.text import natural_order
 from pricetide.operators import gold
 from pricetide.operators.lineage import Run
 from pricetide.plans import daily
@@ -270,3 +272,21 @@ def test_price_history_is_clustered_and_its_key_is_checked(spark, lake_root):
     with pytest.raises(lake.Refused, match="unique"):
         daily.run_gold(spark, root, ["2026-01-01"])
     assert gold_rows(spark, root)["price_history"] == before
+
+
+def test_pages_arrive_by_their_numbers(spark, tmp_path):
+    where = landing(tmp_path / "in", [a_deal("5")], DETAILS, STORES)
+    write(tmp_path / "in/deals/page10.json", [a_deal("7", sale="10.00")])
+    write(tmp_path / "in/deals/page9.json", [a_deal("7", sale="9.00")])
+    write(tmp_path / "in/deals/page009b.json", [a_deal("8", sale="9.50")])
+    root = f"{tmp_path}/lake"
+    daily.run_bronze(spark, where, root, "2026-01-01", Run("r", AT), lines=False)
+    found = days_of(spark, root, "bronze/records", schemas.BRONZE_RECORDS)
+    assert {(r.item_id, r.sale_price) for r in found.collect()} == {("7", "9.00"), ("8", "9.50")}
+
+
+def test_natural_order(spark):
+    names = ["a10", "a9", "a9b", "a010", "b1", "a", "a1.10", "a1.9", "x" + "1" * 30, "x2"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    order = [r.name for r in df.orderBy(natural_order(F.col("name")), "name").collect()]
+    assert order == ["a", "a1.9", "a1.10", "a9", "a9b", "a010", "a10", "b1", "x2", "x" + "1" * 30]
