@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -36,6 +37,8 @@ from pricetide.llm.store import fresh_path, open_folder, stored
 
 FRAME_BYTES = 1 << 18
 CACHED_UNITS = 350_000
+#: Characters of texts that are gathered at once.
+STRETCH = 1 << 22
 _SKIP_INDEX, _SKIP_SEEK, _SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _INDEX = struct.Struct("<4sBxxxQ")
 _ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
@@ -70,6 +73,11 @@ class Encoder:
         if self.tokenizer.normalizer is not None:
             raise ValueError("texts can be cut only where the tokenizer does not rewrite them")
 
+        # tokens that begin with a space, as a byte-level vocabulary writes it
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
@@ -77,33 +85,100 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
         return [self._pack(e.ids) for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words with a space before each, many words in one call.
+
+        The tokenizer cuts at each of these spaces, and a token begins with a space only
+        there, so such tokens part the words. Should they not be as many as the words,
+        each is encoded by itself.
+        """
+        found: list[bytes] = []
+        blocks = [words[at : at + 512] for at in range(0, len(words), 512)]
+        whole = ["".join([" " + w for w in b]) for b in blocks]
+        for block, text, own in zip(blocks, whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+            ids = np.array(own.ids, np.int64)
+            plain = len(ids) and ids.max() < len(self.opens) and not any(s in text for s in self.special)
+            starts = np.flatnonzero(self.opens[ids]) if plain else ids[:0]
+            if len(starts) != len(block) or starts[0]:
+                found += self._encode([" " + w for w in block])
+                continue
+            data, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+            ends = [*(starts * width).tolist(), len(data)]
+            found += [data[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return found
+
+    def _units(self, wanted: list[str]) -> list[bytes]:
+        """Ids of distinct units, each with a space before it; those met lately are remembered."""
+        if len(self.lately) > CACHED_UNITS:
+            self.before, self.lately = self.lately, {}
+        lately, before = self.lately, self.before
+        new = []
+        for u in wanted:
+            if u not in lately:
+                if u in before:
+                    lately[u] = before[u]
+                else:
+                    new.append(u)
+        odd = [u for u in new if not u or " " in u]
+        lately.update(zip(odd, self._encode([" " + u for u in odd]), strict=True))
+        words = [u for u in new if u and " " not in u]
+        lately.update(zip(words, self._encode_words(words), strict=True))
+        return [lately[u] for u in wanted]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        heads: list[str] = []
-        tails: list[list[str]] = []
-        for text in texts:
+        """Ids of each text and the end id, as bytes."""
+        found: list[bytes] = [b""] * len(texts)
+        plain: list[int] = []
+        size = 0
+        for at, text in enumerate(texts):
             text = text or ""
             if any(s in text for s in self.special):
-                head, rest = text, []
+                found[at] = self._encode([text])[0] + self.end
             elif _SPACE_RUN.search(text):
                 head, *rest = _BETWEEN.split(text)
                 rest = [u[1:] for u in rest]
+                ids = dict(zip(wanted := list(set(rest)), self._units(wanted), strict=True))
+                found[at] = self._encode([head])[0] + b"".join(map(ids.__getitem__, rest)) + self.end
             else:
-                head, *rest = text.split(" ")
-            heads.append(head)
-            tails.append(rest)
-        if len(self.lately) > CACHED_UNITS:
-            self.before, self.lately = self.lately, {}
-        wanted: set[str] = set()
-        for rest in tails:
-            wanted.update(rest)
-        wanted.difference_update(self.lately)
-        known = {u: self.before[u] for u in wanted if u in self.before}
-        self.lately |= known
-        new = list(wanted.difference(known))
-        self.lately.update(zip(new, self._encode([" " + u for u in new]), strict=True))
-        get, end = self.lately.__getitem__, self.end
-        first = self._encode(heads)
-        return [h + b"".join(map(get, rest)) + end for h, rest in zip(first, tails, strict=True)]
+                plain.append(at)
+                size += len(text)
+                if size > STRETCH:
+                    self._encode_plain(texts, plain, found)
+                    plain, size = [], 0
+        if plain:
+            self._encode_plain(texts, plain, found)
+        return found
+
+    def _encode_plain(self, texts: list[str | None], plain: list[int], found: list[bytes]) -> None:
+        """Texts that are cut at every space: each distinct unit is looked up once, ids are gathered by number."""
+        lists = pc.split_pattern(pa.array([texts[i] or "" for i in plain], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        offsets = lists.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        heads = coded.dictionary.take(pa.array(codes[offsets[:-1]])).to_pylist()
+        inner = np.ones(len(codes), bool)
+        inner[offsets[:-1]] = False
+        used, numbers = np.unique(codes[inner], return_inverse=True)
+        units = self._units(coded.dictionary.take(pa.array(used)).to_pylist())
+        # units, then the head of every text, then the end id
+        parts = [*units, *self._encode(heads), self.end]
+        sizes = np.array([len(p) for p in parts], np.int64) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(parts), self.dtype)
+        n = len(plain)
+        row = np.repeat(np.arange(n), np.diff(offsets))
+        order = np.full(len(codes) + n, len(parts) - 1)  # an end id after every text
+        place = np.arange(len(codes)) + row
+        order[place[inner]] = numbers
+        order[place[~inner]] = len(units) + np.arange(n)
+        taken = sizes[order]
+        ends = np.cumsum(taken)
+        at = np.repeat(starts[order] - (ends - taken), taken) + np.arange(ends[-1])
+        data = ids[at].tobytes()
+        bounds = [0, *(ends[offsets[1:] + np.arange(n)] * self.dtype.itemsize).tolist()]
+        for i, a, b in zip(plain, bounds[:-1], bounds[1:], strict=True):
+            found[i] = data[a:b]
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
