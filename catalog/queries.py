@@ -115,7 +115,7 @@ def nested_envelope_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(day, execution).alias("metadata"), F.array(record, record).alias("dados")
     )
     path = fresh_path(spark, "envelopes")
-    envelopes.write.json(path)
+    envelopes.write.json(path, compression="gzip")
     return landed.envelope_records(landed.read_envelopes(spark, path)).select(
         "item_id",
         "snapshot_date",
