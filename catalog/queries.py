@@ -58,11 +58,9 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+def unlabelled(spark: SparkSession, sf: str, lookup: Callable[..., DataFrame] = enrich.lookup_details) -> DataFrame:
     """Records of the queries that never look at the store: no store join."""
-    found = enrich.lookup_details(
-        enrich.first_deals(views.deals(spark, sf)), views.details(spark, sf)
-    )
+    found = lookup(enrich.first_deals(views.deals(spark, sf)), views.details(spark, sf))
     return found.withColumn("store", F.lit(None).cast("string")).select(*enrich.RECORD_COLUMNS)
 
 
@@ -520,7 +518,7 @@ def bucketed_records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
     """Records written in buckets by (snapshot, item), as the sides of a join."""
     root = f"{fresh_path(spark, 'buckets')}/records"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets.write_buckets(unlabelled(spark, sf), root, buckets=parts)
+    buckets.write_buckets(unlabelled(spark, sf, enrich.bring_details), root, buckets=parts)
     (sides,) = buckets.together(spark, [root, root])
     return sides
 

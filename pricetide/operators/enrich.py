@@ -63,6 +63,22 @@ def lookup_details(
     return deals.join(found, list(on), "inner")
 
 
+def bring_details(deals: DataFrame, details: DataFrame) -> DataFrame:
+    """``lookup_details`` by item for deals that stand by (snapshot, item) and are to stay so.
+
+    Each item's dates go to its details, and these come to the deals of each date: the
+    deals are neither shuffled towards the lookup nor, widened, back. Deals without a date
+    are kept, without details: no snapshot holds them, and a write refuses them.
+    """
+    found = details.filter(F.col("success")).select("item_id", *DETAIL_COLUMNS)
+    dates = deals.groupBy("item_id").agg(F.collect_set("snapshot_date").alias("dates"))
+    dated = dates.join(found, "item_id").select(
+        F.explode("dates").alias("snapshot_date"), "item_id", *DETAIL_COLUMNS, F.lit(True).alias("_found")
+    )
+    joined = deals.join(dated, list(ITEM_KEYS), "left")
+    return joined.filter(F.col("_found") | F.col("snapshot_date").isNull()).drop("_found")
+
+
 def store_dimension(stores: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """``store_id`` as text with the name that came last."""
     order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])

@@ -50,3 +50,41 @@ def test_envelopes_are_gzipped(spark, small, tmp_path, monkeypatch):
     assert got and got == 2 * queries.records(spark, small).count()
     files = list((tmp_path / "work").rglob("part-*"))
     assert files and all(p.name.endswith(".json.gz") for p in files)
+
+
+DEALS = "item_id string, snapshot_date date, ord1 int, ord2 int, sale_price string"
+DETAILS = "item_id string, success boolean, name string, price int, tags array<string>, makers array<string>"
+
+
+def test_details_brought_to_deals_are_those_looked_up(spark):
+    day = date(2026, 1, 1)
+    deals = [("1", day, 1, 1, "a"), ("1", date(2026, 2, 1), 2, 1, "b"), ("2", day, 3, 1, "c"), ("3", day, 4, 1, "d")]
+    deals += [("1", day, 5, 1, "later"), ("", day, 6, 1, "e"), (None, day, 7, 1, "f"), ("9", day, 8, 1, "g")]
+    deals = spark.createDataFrame(deals, DEALS)
+    found = [("1", True, "n", 1, ["t"], []), ("2", False, "m", 2, None, None), ("3", True, None, None, None, None)]
+    details = spark.createDataFrame([*found, ("3", True, "twice", 3, [], None), (None, True, "x", 1, [], [])], DETAILS)
+    first = enrich.first_deals(deals)
+    expected = enrich.lookup_details(first, details)
+    assert rows(enrich.bring_details(first, details).select(expected.columns)) == rows(expected)
+    undated = spark.createDataFrame([("1", None, 9, 1, "h")], DEALS)
+    kept = enrich.bring_details(enrich.first_deals(undated), details).collect()
+    assert [(r.sale_price, r.snapshot_date) for r in kept] == [("h", None)]  # for the write to refuse
+
+
+def test_records_for_buckets_are_not_shuffled_with_their_details(spark, small, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    taken = []
+    monkeypatch.setattr(queries.buckets, "write_buckets", lambda df, root, buckets, **_: taken.append(df))
+    monkeypatch.setattr(queries.buckets, "together", lambda spark, roots: [None])
+    queries.bucketed_records(spark, small)
+    plan = taken[0].repartition(n, *dedupe.ITEM_KEYS)._jdf.queryExecution().executedPlan()
+    assert taken[0].count() > 0
+    pending, exchanged = [plan], []
+    while pending:
+        node = pending.pop()
+        if "Exchange" in node.nodeName():
+            exchanged.append(node.output().mkString(","))
+        pending += [node.children().apply(i) for i in range(node.children().size())]
+    assert exchanged and not [o for o in exchanged if "sale_price" in o and "tags" in o]
