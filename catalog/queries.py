@@ -463,8 +463,10 @@ def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
         "tags": silver.tag_bridge(landed_records, unique_records=True),
         "makers": silver.maker_bridge(landed_records, unique_records=True),
     }
+    # a file of records has one date, so rows need not be sent together once more
     counts = [
-        (name, lake.replace_snapshots(df, f"{root}/{name}").rows) for name, df in outputs.items()
+        (name, lake.replace_snapshots(df, f"{root}/{name}", spread=False).rows)
+        for name, df in outputs.items()
     ]
     return spark.createDataFrame(counts, "layer string, n_rows bigint")
 

@@ -88,3 +88,19 @@ def test_records_for_buckets_are_not_shuffled_with_their_details(spark, small, c
             exchanged.append(node.output().mkString(","))
         pending += [node.children().apply(i) for i in range(node.children().size())]
     assert exchanged and not [o for o in exchanged if "sale_price" in o and "tags" in o]
+
+
+def test_layers_are_written_without_sending_rows_of_a_date_together_again(spark, small, tmp_path, monkeypatch):
+    placed(monkeypatch, tmp_path / "work")
+    write, spreads = lake.replace_snapshots, {}
+
+    def seen(df, root, *args, **options):
+        spreads[root.rsplit("/", 1)[1]] = options.get("spread")
+        return write(df, root, *args, **options)
+
+    monkeypatch.setattr(queries.lake, "replace_snapshots", seen)
+    counts = dict(queries.layer_counts(spark, small).collect())
+    found = queries.records(spark, small)
+    assert counts["items"] == queries.items(spark, small).count() > 0
+    assert counts["makers"] == queries.silver.maker_bridge(found, unique_records=True).count()
+    assert spreads == {"records": None, "items": False, "tags": False, "makers": False}
