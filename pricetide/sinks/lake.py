@@ -143,8 +143,12 @@ def replace_snapshot(df: DataFrame, root: str, snapshot: str | date, **options)
 def write_bronze(
     df: DataFrame, root: str, snapshots: Iterable[str | date] = (), fmt: str = "json"
 ) -> Written:
-    """Stamped rows by snapshot. As JSON a null field stays in the document."""
-    options = {"ignoreNullFields": False} if fmt == "json" else {}
+    """Stamped rows by snapshot. As JSON a null field stays in the document, and files are gzipped:
+
+    names and stamps repeat in every row. Such a file is read by one task; the write makes
+    one for each of its tasks and dates.
+    """
+    options = {"ignoreNullFields": False, "compression": "gzip"} if fmt == "json" else {}
     return replace_snapshots(df, root, snapshots, fmt, **options)
 
 

@@ -44,6 +44,19 @@ def placed(monkeypatch, folder):
     monkeypatch.setattr(queries, "fresh_path", lambda spark, label: f"{folder}/{label}-{next(names)}")
 
 
+def test_bronze_json_is_gzipped_and_reads_the_same(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("1", "é", None, date(2026, 1, 1)), (None, "", "x\n", date(2026, 1, 2))],
+        "item_id string, name string, store string, snapshot_date date",
+    )
+    stamped = lineage.stamp_lineage(df, RUN, "bronze_raw")
+    lake.write_bronze(stamped, f"{tmp_path}/t")
+    files = [p for p in Path(f"{tmp_path}/t").rglob("part-*") if not p.name.startswith(".")]
+    assert files and all(p.name.endswith(".json.gz") for p in files)
+    names = stamped.columns
+    assert rows(tables.read_table(spark, f"{tmp_path}/t", stamped.schema, "json").select(names)) == rows(stamped)
+
+
 def test_envelopes_are_gzipped(spark, small, tmp_path, monkeypatch):
     placed(monkeypatch, tmp_path / "work")
     got = queries.nested_envelope_roundtrip(spark, small).count()
