@@ -247,7 +247,10 @@ def stars(crowded: DataFrame, docs: DataFrame, level: int, width: int, percent:
 
 def in_pieces(crowded: DataFrame, kin: DataFrame) -> DataFrame:
     """(key, node, kin) of the crowded regions that links leave in several pieces."""
-    marked = crowded.join(kin, "node", "left").select("key", "node", F.coalesce("component", "node").alias("kin"))
+    # a node is in as many regions as there are orders: it is looked up once
+    nodes = crowded.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    named = nodes.join(kin, "node", "left").select("node", F.coalesce("component", "node").alias("kin"), "keys")
+    marked = named.select(F.explode("keys").alias("key"), "node", "kin")
     pieces = marked.groupBy("key").agg(F.min("kin").alias("low"), F.max("kin").alias("high")).where("low <> high")
     return marked.join(pieces.select("key"), "key", "left_semi")
 

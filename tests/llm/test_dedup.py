@@ -208,3 +208,22 @@ def test_no_vectors(spark):
     df = spark.createDataFrame([(1, None)], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in stable_hash.near_duplicates(df).collect()] == [(1, 0, 1, True)]
     assert stable_hash.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_members_of_crowded_regions_are_looked_up_once_each(spark):
+    rows = [(key, node) for key in range(32) for node in range(6) if key < 30 or node < 4]
+    crowded = spark.createDataFrame([*rows, (99, 0), (99, 7)], "key long, node long")
+    kin = spark.createDataFrame([(n, 0) for n in range(4)] + [(4, 4)], "node long, component long")
+    found = lsh_forest.in_pieces(crowded, kin)
+    got = sorted(map(tuple, found.collect()))
+    piece = lambda n: 0 if n < 4 else n
+    assert got == sorted([(k, n, piece(n)) for k, n in rows if k < 30] + [(99, 0, 0), (99, 7, 7)])
+    plan = found._jdf.queryExecution().optimizedPlan()
+    pending, inputs = [plan], []
+    while pending:
+        node = pending.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join" and "LeftOuter" in node.toString().splitlines()[0]:
+            inputs.append("collect_list" in children[0].toString())
+        pending += children
+    assert inputs and all(inputs)  # a row a node, not a row for each of its regions
