@@ -112,18 +112,21 @@ class Encoder:
         if len(self.lately) > CACHED_UNITS:
             self.before, self.lately = self.lately, {}
         lately, before = self.lately, self.before
+        found = list(map(lately.get, wanted))
+        missed = [i for i, ids in enumerate(found) if ids is None]
         new = []
-        for u in wanted:
-            if u not in lately:
-                if u in before:
-                    lately[u] = before[u]
-                else:
-                    new.append(u)
+        for i in missed:
+            if (ids := before.get(wanted[i])) is not None:
+                lately[wanted[i]] = ids
+            else:
+                new.append(wanted[i])
         odd = [u for u in new if not u or " " in u]
         lately.update(zip(odd, self._encode([" " + u for u in odd]), strict=True))
-        words = [u for u in new if u and " " not in u]
+        words = [u for u in new if u and " " not in u] if odd else new
         lately.update(zip(words, self._encode_words(words), strict=True))
-        return [lately[u] for u in wanted]
+        for i in missed:
+            found[i] = lately[wanted[i]]
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id, as bytes."""
@@ -156,11 +159,14 @@ class Encoder:
         codes = coded.indices.to_numpy().astype(np.int64)
         offsets = lists.offsets.to_numpy()
         offsets = offsets - offsets[0]
-        heads = coded.dictionary.take(pa.array(codes[offsets[:-1]])).to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
+        heads = words[codes[offsets[:-1]]].tolist()
         inner = np.ones(len(codes), bool)
         inner[offsets[:-1]] = False
-        used, numbers = np.unique(codes[inner], return_inverse=True)
-        units = self._units(coded.dictionary.take(pa.array(used)).to_pylist())
+        # codes are dense: those that occur are counted, not sorted
+        there = np.bincount(codes[inner], minlength=len(coded.dictionary)) > 0
+        used, numbers = np.flatnonzero(there), (np.cumsum(there) - 1)[codes[inner]]
+        units = self._units(words[used].tolist())
         # units, then the head of every text, then the end id
         parts = [*units, *self._encode(heads), self.end]
         sizes = np.array([len(p) for p in parts], np.int64) // self.dtype.itemsize

@@ -341,3 +341,15 @@ def lsh_forest_rows(docs):
     from pricetide.llm import lsh_forest
 
     return [r.kept for r in lsh_forest.near_duplicates(docs).collect()]
+
+
+def test_words_of_a_batch_are_counted_not_sorted(monkeypatch):
+    code = token_frames.Encoder(registry.byte_vocabulary(), 2)
+    texts = ["a b a", "b", "", None, "two  spaces b", "c a c a", "a"]
+    whole = [code._encode([t or ""])[0] + code.end for t in texts]
+
+    def sorts(*_, **__):
+        raise AssertionError("the words of a batch are sorted")
+
+    monkeypatch.setattr(np, "unique", sorts)
+    assert code.encode(texts) == whole
