@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from pricetide.llm.components import components
 from pricetide.llm.store import stored
-from pricetide.llm.words import SPACE, mix, shingle_set, word_hashes
+from pricetide.llm.words import SPACE, mix, pieces, shingle_set, word_hashes
 
 WIDTH = 5
 VALUES = 128
@@ -152,7 +152,7 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, digest, signature); the last two are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             sets = [shingles_of(t, width) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -208,7 +208,7 @@ def stars(crowded: DataFrame, docs: DataFrame, level: int, width: int, percent:
     """
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             sets = [pack(shingles_of(t, width)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {"pivot": batch.column("pivot"), "shingles": pa.array(sets, pa.binary())}
@@ -217,7 +217,7 @@ def stars(crowded: DataFrame, docs: DataFrame, level: int, width: int, percent:
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A pivot's set comes first, then the texts that are compared with it."""
         now, own = None, np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in pieces(batches):
             a, b = [], []
             rows = (batch.column(c).to_pylist() for c in ("pivot", "node", "shingles"))
             texts = batch.column("text").cast(pa.binary())
@@ -360,7 +360,7 @@ def confirmed(found: DataFrame, docs: DataFrame, level: int, width: int, percent
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each document's set, computed once and repeated for its places."""
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             names = batch.column("node").to_pylist()
             rows, size = [], 0

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.store import stored
+from pricetide.llm.words import pieces
 
 #: What is left for the knapsack table: this many words, or a little more.
 EXACT_WORDS = 4_096
@@ -86,7 +87,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size) of every row: the words of the whole text, 0 for null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             # split() of bytes parts words at 0x20 and 0x09 to 0x0D, and nowhere else
             size = pa.array([len(t.split()) if t else 0 for t in texts], pa.int64())

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.words import LOWER, OTHER, SPACE, mix, prefix_sums, span_hashes, spans, word_hashes
+from pricetide.llm.words import LOWER, OTHER, SPACE, mix, pieces, prefix_sums, span_hashes, spans, word_hashes
 
 SAMPLE = 10_000
 #: Insults that the word-list labeller looks for.
@@ -201,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, seed: i
             known[r.doc_id] = [max(x) for x in zip(old, votes, strict=True)]
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
     if known:
-        ids = docs.sparkSession.createDataFrame([(i,) for i in known], "doc_id long")
+        # from Arrow: a list would be read by Python workers of its own in each executor
+        ids = docs.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(list(known), pa.int64())}))
         picked = texts.join(F.broadcast(ids), "doc_id", "left_semi")  # at most ``sample`` ids
     else:
         ids = texts.select("doc_id").distinct().orderBy(order, "doc_id").limit(sample)
@@ -211,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, seed: i
     picked = picked.withColumn("copy", F.row_number().over(first)).where("copy = 1").drop("copy")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             raw = batch.column("text").cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_pydict(
                 {
@@ -289,7 +290,7 @@ def classify(docs: DataFrame, scorer: Scorer, limit: float = 0.5) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             p = _scored(batch.column("text").cast(pa.binary()).to_pylist(), sent.value)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -309,7 +310,7 @@ def keep(docs: DataFrame, scorer: Scorer, limit: float = 0.5) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             p = _scored(batch.column("text").cast(pa.binary()).to_pylist(), sent.value)
             yield batch.filter(pa.array(~(p > limit).any(1)))
 

@@ -7,7 +7,12 @@ on UTF-8 bytes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _BYTES = np.arange(256)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -24,9 +29,24 @@ _INVERSE = pow(_BASE, -1, 2**64)
 _LINKS = _DRAW.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Longest stretch that is hashed at once; longer texts are cut between words.
 STRETCH = 1 << 22
+#: Bytes of text that a task takes out of a batch at once; a longer text is taken alone.
+PIECE = 1 << 20
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """All rows in their order, in slices of about ``most`` bytes of text.
+
+    A batch of Spark is 10,000 rows however long their texts are. What is made of it at once, a worker keeps
+    as long as it lives, and an executor has several workers.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text).cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+        turn = np.cumsum(sizes, dtype=np.int64) // most
+        for a, b in pairwise([0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), batch.num_rows]):
+            yield batch.slice(a, b - a)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of a 64-bit value over all bits."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
