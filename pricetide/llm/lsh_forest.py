@@ -8,6 +8,8 @@ compared with it first, so a group of n near copies costs n comparisons. Only if
 links found so far leave a crowded region in several pieces do its members go into
 deeper and more orders, where members of one piece are not compared again; what is still
 crowded there is compared in blocks, all members with those outside of the largest piece.
+The regions that are not crowded, of both levels, and the blocks are compared together at the
+end, when the pieces are known.
 
 A pair at the threshold is missed by the first level with probability 5e-6: its 32 orders
 share no value. The 96 orders of the second draw 7 of the same 128 values each and
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.components import components
+from pricetide.llm import components
 from pricetide.llm.store import stored
 from pricetide.llm.words import SPACE, mix, pieces, shingle_set, word_hashes
 
@@ -106,12 +108,23 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def region_keys(signatures: np.ndarray, level: int) -> np.ndarray:
-    """One key per document and order; the order's number is in the lowest byte."""
+    """One key per document and order; the order's number, counted over all levels, is in the lowest byte."""
     places = orders(level)
     h = np.zeros((len(signatures), len(places)), np.uint64)
     for k in range(places.shape[1]):
         h = mix(h + signatures[:, places[:, k]].astype(np.uint64) + np.uint64(1 + level))
-    return (h << np.uint64(8) | np.arange(len(places), dtype=np.uint64)).view(np.int64)
+    first = sum(n for _, n in LEVELS[:level])
+    return (h << np.uint64(8) | np.arange(first, first + len(places), dtype=np.uint64)).view(np.int64)
+
+
+def equal_values(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many values each signature of ``a`` agrees with each of ``b``."""
+    if len(a) * len(b) < 1 << 13:
+        return (a[:, None, :] == b[None, :, :]).sum(2)
+    columns, found = np.ascontiguousarray(b.T), np.zeros((len(a), len(b)), np.uint8)
+    for k in range(VALUES):  # a value of all pairs at once: whole rows of small numbers
+        found += (a[:, k, None] == columns[k]).view(np.uint8)
+    return found
 
 
 def candidates(
@@ -124,21 +137,24 @@ def candidates(
     places, n = orders(level), len(signatures)
     least = int(MARGIN * VALUES)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    step = max(1, (1 << 21) // (n * VALUES))
-    for at in range(0, n, step):
-        part = signatures[at : at + step]
-        same = (part[:, None, :] == signatures[None, :, :]).sum(2)
+    step = max(1, (1 << 16) // n)
+    for at in range(0, split or n, step):
+        part = signatures[at : min(at + step, split or n)]
+        start = split or at  # pairs with earlier ones were seen from there
+        same = equal_values(part, signatures[start:])
         i, j = np.nonzero(same >= least)
-        ok = (i + at < split) & (j >= split) if split else i + at < j
-        ok &= kin[i + at] != kin[j]
-        i, j = i[ok], j[ok]
+        counts, j = same[i, j], j + start
+        ok = kin[i + at] != kin[j]
+        if not split:
+            ok &= i + at < j
+        i, j, counts = i[ok], j[ok], counts[ok].astype(np.int64)
         for cut in range(0, len(i), 4096):
             a, b = i[cut : cut + 4096], j[cut : cut + 4096]
             equal = part[a] == signatures[b]
             own = np.ones(len(a), bool)
             for earlier in places[:order]:
                 own &= ~equal[:, earlier].all(1)
-            found.append((a[own] + at, b[own], same[a[own], b[own]]))
+            found.append((a[own] + at, b[own], counts[cut : cut + 4096][own]))
     if not found:
         none = np.zeros(0, np.int64)
         return none, none, none
@@ -320,8 +336,12 @@ def grouped(handle: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     yield from flush()
 
 
-def _order(batch: pa.RecordBatch) -> int:
-    return batch.column("key")[0].as_py() & 0xFF
+def _order_and_level(batch: pa.RecordBatch) -> tuple[int, int]:
+    """(order, level) of a region."""
+    order, level = batch.column("key")[0].as_py() & 0xFF, 0
+    while order >= LEVELS[level][1]:
+        order, level = order - LEVELS[level][1], level + 1
+    return order, level
 
 
 def _split(batch: pa.RecordBatch) -> int:
@@ -335,14 +355,14 @@ def _one_sided(batch: pa.RecordBatch) -> bool:
     return bool(sides[0]) and sides[0] == sides[-1]
 
 
-def active(members: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
+def active(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """Members of a region that have a candidate pair there."""
 
     def handle(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         if _one_sided(batch):
             return None
         signatures, kin = _matrix(batch.column("signature")), batch.column("kin").to_numpy(zero_copy_only=False)
-        i, j, _ = candidates(signatures, kin, _order(batch), level, _split(batch))
+        i, j, _ = candidates(signatures, kin, *_order_and_level(batch), _split(batch))
         if not len(i):
             return None
         used = pa.array(np.unique(np.concatenate((i, j))))
@@ -355,7 +375,7 @@ def active(members: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
     )
 
 
-def confirmed(found: DataFrame, docs: DataFrame, level: int, width: int, percent: int) -> DataFrame:
+def confirmed(found: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) of full sets, as a spanning forest of each region."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,7 +399,7 @@ def confirmed(found: DataFrame, docs: DataFrame, level: int, width: int, percent
         if _one_sided(batch):
             return None
         signatures, kin = _matrix(batch.column("signature")), batch.column("kin").to_numpy(zero_copy_only=False)
-        i, j, same = candidates(signatures, kin, _order(batch), level, _split(batch))
+        i, j, same = candidates(signatures, kin, *_order_and_level(batch), _split(batch))
         full = [unpack(s) for s in batch.column("shingles").to_pylist()]
         parent = list(range(len(full)))
 
@@ -432,6 +452,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def as_links(kin: DataFrame) -> DataFrame:
+    return kin.select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 75) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept.
 
@@ -442,27 +466,25 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 75) -> D
     made = stored(sketches(docs, width), "sketches")
     same = made.where("digest is not null and doc_id is not null").groupBy("digest")
     nodes = stored(same.agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "nodes")
-    rest = nodes.withColumn("kin", F.col("node"))
-    links: list[DataFrame] = []
-    confirm = lambda members, level: confirmed(active(members, rest, level), docs, level, width, percent)
+    rest, compared = nodes, []
+    kin = nodes.select("node", F.col("node").alias("component")).where(F.lit(False))
     for level in range(len(LEVELS)):
         small, crowded = regions(rest, level)
-        links.append(confirm(small, level))
+        compared.append(small)
         if crowded.isEmpty():
             break
-        links.append(stored(stars(crowded, docs, level, width, percent), "stars"))
-        found = links[1::2]  # the stars of all levels so far
-        kin = components(functools.reduce(DataFrame.unionByName, found))
+        # the links of the levels before are in the pieces they made
+        kin = components.stars(stars(crowded, docs, level, width, percent).unionByName(as_links(kin)))
         crowded = stored(in_pieces(crowded, kin), "pieces")
         if crowded.isEmpty():
             break
-        # a node has one kin, whatever region it is in
-        marked = crowded.select("node", "kin").distinct()
-        rest = stored(rest.drop("kin").join(marked, "node"), "nodes")
-        if level + 1 == len(LEVELS):
-            links.append(confirm(blocks(crowded), level))
-    links = functools.reduce(DataFrame.unionByName, links)
-    of_node = components(links)
+        if level + 1 < len(LEVELS):
+            rest = stored(nodes.join(crowded.select("node").distinct(), "node"), "nodes")
+        else:
+            compared.append(blocks(crowded))
+    marked = nodes.join(kin, "node", "left").select("node", "signature", F.coalesce("component", "node").alias("kin"))
+    found = active(functools.reduce(DataFrame.unionByName, compared), marked)
+    of_node = components.stars(confirmed(found, docs, width, percent).unionByName(as_links(kin)))
     groups = nodes.select("digest", "node").join(of_node, "node", "left")
     groups = groups.select("digest", F.coalesce("component", "node").alias("component_id"))
     rows = made.select("doc_id", "n_shingles", "digest").join(groups, "digest", "left")
