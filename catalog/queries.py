@@ -19,7 +19,7 @@ from pricetide.schemas import (
     SERVING_OFFERS,
     SERVING_PRICE_HISTORY,
 )
-from pricetide.session import fresh_path
+from pricetide.session import fresh_path, option
 from pricetide.sinks import buckets, clusters, lake, names
 from pricetide.sources import landed, ledger, tables
 
@@ -455,8 +455,15 @@ def maker_bridge(spark: SparkSession, sf: str) -> DataFrame:
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the three Silver tables, counted by the writes that make them."""
     root = fresh_path(spark, "silver")
-    found = records(spark, sf)
-    lake.replace_snapshots(found, f"{root}/records")
+    # more cells would be more files, fewer would fill the tasks less evenly
+    cells = 5 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = enrich.records_by_date(
+        views.deals(spark, sf), views.details(spark, sf), views.stores(spark, sf), cells
+    )
+    # deals are much wider than the lines they are read from: a task's fill its memory before they are sent
+    splits = option(spark, "spark.sql.files.maxPartitionBytes", "32m", override=False)
+    with option(spark, *enrich.JOIN_IN_CELLS), splits:
+        lake.replace_snapshots(found, f"{root}/records", together=True)
     landed_records = tables.read_table(spark, f"{root}/records", found.schema)
     outputs = {
         "items": silver.silver_items(landed_records, unique_records=True),

@@ -33,6 +33,11 @@ RECORD_COLUMNS = (
     "tags",
     "makers",
 )
+#: Where deals are sent together: a date, and a part of its items.
+PART = "_part"
+CELL = ("snapshot_date", PART)
+#: With this option a join by cell and key takes rows that stand by cell as they are.
+JOIN_IN_CELLS = ("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
 def require_key(df: DataFrame, key: str = "item_id") -> DataFrame:
@@ -50,7 +55,7 @@ def first_deals(
 
 
 def lookup_details(
-    deals: DataFrame, details: DataFrame, on: Sequence[str] = ("item_id",)
+    deals: DataFrame, details: DataFrame, on: Sequence[str] = ("item_id",), how: str = "inner"
 ) -> DataFrame:
     """Attach item details; deals without a successful detail are dropped.
 
@@ -60,7 +65,7 @@ def lookup_details(
     measured size is below the threshold and sort-merges otherwise.
     """
     found = details.filter(F.col("success")).select(*on, *DETAIL_COLUMNS)
-    return deals.join(found, list(on), "inner")
+    return deals.join(found, list(on), how)
 
 
 def bring_details(deals: DataFrame, details: DataFrame) -> DataFrame:
@@ -100,15 +105,18 @@ def default_stores(spark: SparkSession) -> DataFrame:
 
 
 def label_stores(
-    deals: DataFrame, stores: DataFrame, prefix: str = STORE_LABEL_PREFIX
+    deals: DataFrame,
+    stores: DataFrame,
+    prefix: str = STORE_LABEL_PREFIX,
+    on: Sequence[str] = ("store_id",),
 ) -> DataFrame:
-    """Add ``store``, the label of ``store_id``; ``stores`` has one row per id.
+    """Add ``store``, the label of ``store_id``; ``stores`` has one row per ``on`` key.
 
     Left join without a hint: a dimension below the broadcast threshold is
     broadcast, a larger one is sort-merged, where a store (or the null id) that
     holds much of the table is split by the adaptive skew join.
     """
-    joined = deals.join(stores.select("store_id", "store_name"), "store_id", "left")
+    joined = deals.join(stores.select(*on, "store_name"), list(on), "left")
     label = store_label(F.col("store_id"), F.col("store_name"), prefix)
     return joined.withColumn("store", label).drop("store_name")
 
@@ -124,6 +132,54 @@ def enriched_records(
     return label_stores(found, stores).select(*RECORD_COLUMNS)
 
 
+def bring(rows: DataFrame, deals: DataFrame, key: str) -> DataFrame:
+    """Rows of a lookup table, sent once to each cell where deals have their ``key``."""
+    cells = deals.groupBy(key).agg(F.collect_set(F.struct(*CELL)).alias("_cells"))
+    sent = rows.join(cells, key).select(*rows.columns, F.explode("_cells").alias("_cell"))
+    return sent.select(*rows.columns, "_cell.*").repartition(*CELL)
+
+
+def cells_of_dates(deals: DataFrame, cells: int) -> DataFrame:
+    """Deals with the part of their date that they belong to, by a hash of the item.
+
+    A date has as many parts as it holds of about ``cells`` in all, and one at least, so dates
+    may be few or of uneven size. Counted first; one number a date reaches the driver.
+    """
+    counts = deals.groupBy("snapshot_date").agg(F.count("*").alias("n")).collect()
+    total = sum(r.n for r in counts)
+    parts = [(r.snapshot_date, -(-r.n * cells // total)) for r in counts]
+    sizes = deals.sparkSession.createDataFrame(parts, "snapshot_date date, _parts bigint")
+    known = deals.join(F.broadcast(sizes), "snapshot_date", "left")  # deals without a date are one part
+    part = F.pmod(F.xxhash64("item_id"), F.coalesce("_parts", F.lit(1)))
+    return known.select(*deals.columns, part.cast("int").alias(PART))
+
+
+def records_by_date(
+    deals: DataFrame, details: DataFrame, stores: DataFrame, cells: int
+) -> DataFrame:
+    """``enriched_records`` of many snapshots, each in few tasks and sorted by date there.
+
+    Each deal is sent once, unsorted, to one of about ``cells`` cells: its date and a part of
+    the items. There it is deduped, and store names and details are brought to it, so under
+    ``JOIN_IN_CELLS`` neither a lookup, however large its table, nor a write by date moves the
+    records again; without the option rows are the same and move more often. The keys of the
+    deals are read once more for each lookup and for the sizes of the dates, and all deals of
+    one item and date go to one task, repeats included.
+
+    Deals without a date that have details come out as rows without a date and without
+    values of the deal, for the write to refuse.
+    """
+    keyed = cells_of_dates(require_key(deals), cells)
+    first = first_deals(keyed.repartition(*CELL), (*CELL, "item_id"))
+    # hashed: to sort the deals by store would undo their order by item
+    labels = bring(stores.select("store_id", "store_name"), keyed, "store_id").hint("shuffle_hash")
+    labelled = label_stores(first, labels, on=(*CELL, "store_id"))
+    known = details.filter(F.col("success")).select("item_id", "success", *DETAIL_COLUMNS)
+    # dated details are there because of their deals, so "right" adds nothing but the undated
+    found = lookup_details(labelled, bring(known, keyed, "item_id"), (*CELL, "item_id"), "right")
+    return found.select(*RECORD_COLUMNS)
+
+
 def rejection_audit(
     deals: DataFrame, details: DataFrame, on: Sequence[str] = ("item_id",)
 ) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,19 @@ def local_session(cores: int | str = 8, memory: str = "16g") -> SparkSession:
     )
 
 
+@contextmanager
+def option(spark: SparkSession, name: str, value: str, override: bool = True) -> Iterator[None]:
+    """Set a session option for what is planned and run within; without ``override`` only if it has no value yet."""
+    before = spark.conf.get(name, None)
+    if before is not None and not override:
+        value = before
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

@@ -39,6 +39,7 @@ def replace_snapshots(
     fmt: str = "parquet",
     key: str = PARTITION,
     spread: bool | None = None,
+    together: bool = False,
     checks: Iterable[Check] = (),
     before: Callable[[DataFrame, str], None] | None = None,
     **options,
@@ -54,12 +55,13 @@ def replace_snapshots(
     ``spread`` sends the rows of one date together before writing: few files per
     date, and a date too large for one task is split by the adaptive rebalance.
     By default that shuffle is left out when exactly one snapshot is named,
-    since then every task has one directory to write to. ``before`` may write more into
+    since then every task has one directory to write to, or when the rows of
+    a date are said to be ``together`` in few tasks already. ``before`` may write more into
     the folder of the staged rows before they are published.
     """
     snapshots = [str(d) for d in snapshots]
     if spread is None:
-        spread = len(snapshots) != 1
+        spread = len(snapshots) != 1 and not together
     rows = df.hint("rebalance", F.col(key)) if spread else df
     folder = manifest.new_folder()
     seen = Observation()

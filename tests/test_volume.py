@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import queries
 from pricetide.operators import dedupe, enrich, lineage
+from pricetide.session import option
 from pricetide.sinks import lake
 from pricetide.sources import tables
 
@@ -117,3 +118,114 @@ def test_layers_are_written_without_sending_rows_of_a_date_together_again(spark,
     assert counts["items"] == queries.items(spark, small).count() > 0
     assert counts["makers"] == queries.silver.maker_bridge(found, unique_records=True).count()
     assert spreads == {"records": None, "items": False, "tags": False, "makers": False}
+
+
+STAMPED = "ord1 int, ord2 int, item_id string, store_id string, snapshot_date date, " + ", ".join(
+    f"{c} string" for c in ("sale_price", "list_price", "discount", "rating_label", "rating_pct")
+)
+NESTED = "item_id string, success boolean, name string, price int, tags array<string>, makers array<string>"
+
+
+def stamped(spark, *keys):
+    """Deals of (item, store, date), arriving in this order."""
+    rows = [(i, 1, *key, f"p{i}", None, "", "g", "7") for i, key in enumerate(keys)]
+    return spark.createDataFrame(rows, STAMPED)
+
+
+def dimensions(spark):
+    """Details and stores of which some have a null key, fail or come twice."""
+    details = [("1", True, "n", 1, ["t"], []), ("2", False, "m", 2, [], []), ("4", None, "l", 3, None, None)]
+    details += [("3", True, None, None, None, None), ("3", True, "twice", 3, [], None), (None, True, "x", 1, [], [])]
+    stores = [("a", "A"), ("b", None), ("c", "C"), ("c", "again"), (None, "none"), ("", "empty")]
+    return spark.createDataFrame(details, NESTED), spark.createDataFrame(stores, "store_id string, store_name string")
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+@pytest.mark.parametrize("cells", [1, 50])
+def test_records_by_date_are_the_enriched_ones(spark, conf, cells, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    days = [date(2026, 1, 1), date(2026, 2, 1), date(2026, 3, 1)]
+    keys = [(i, s, d) for d in days for s in ("a", "c", None, "x", "", "b") for i in ("1", "2", "3", "4", "9", "", None)]
+    deals = stamped(spark, *keys, ("1", "b", date(2026, 4, 1)), ("3", "c", date(2026, 4, 1)), ("1", "c", date(2026, 5, 1)))
+    # the arrival that is first is not the first of its task
+    deals = deals.withColumn("ord1", -F.col("ord1")).withColumn("ord2", F.col("ord1") % 3)
+    details, stores = dimensions(spark)
+    expected = enrich.enriched_records(deals, details, stores)
+    assert expected.count() > 10
+    found = enrich.records_by_date(deals, details, stores, cells)
+    assert found.columns == expected.columns
+    assert rows(found) == rows(expected)
+    with option(spark, *enrich.JOIN_IN_CELLS):
+        assert rows(enrich.records_by_date(deals, details, stores, cells)) == rows(expected)
+
+
+def test_undated_records_are_refused_if_they_have_details(spark, tmp_path):
+    day, (details, stores) = date(2026, 1, 1), dimensions(spark)
+    deals = stamped(spark, ("1", "a", day), ("1", "a", None), ("1", "b", None), ("3", "c", None), ("9", "a", None))
+    n = enrich.enriched_records(deals, details, stores.dropDuplicates(["store_id"])).filter("snapshot_date is null").count()
+    found = enrich.records_by_date(deals, details, stores, 20)
+    assert n == 3
+    with option(spark, *enrich.JOIN_IN_CELLS), pytest.raises(lake.Refused, match=f"{n} rows have no snapshot_date"):
+        lake.replace_snapshots(found, f"{tmp_path}/t", together=True)
+    failed = stamped(spark, ("1", "a", day), ("2", "a", None), ("9", "b", None), ("", "b", None))
+    found = enrich.records_by_date(failed, details, stores, 20)
+    assert lake.replace_snapshots(found, f"{tmp_path}/t", together=True).rows == 1
+
+
+def test_layers_move_each_deal_once(spark, small, tmp_path, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.shuffle.partitions", "3")
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    placed(monkeypatch, tmp_path / "work")
+    write, plans = lake.replace_snapshots, {}
+
+    def seen(df, root, *args, **options):
+        conf("spark.sql.adaptive.enabled", "false")
+        name = root.rsplit("/", 1)[1]
+        # the writer's own sort and exchange included
+        rows = df if options.get("together") or options.get("spread") is False else df.repartition("snapshot_date")
+        plans[name] = rows.sortWithinPartitions("snapshot_date")._jdf.queryExecution().executedPlan()
+        return write(df, root, *args, **options)
+
+    monkeypatch.setattr(queries.lake, "replace_snapshots", seen)
+    queries.layer_counts(spark, small)
+    pending, exchanged, sorts = [plans["records"]], [], []
+    while pending:
+        node = pending.pop()
+        if "Exchange" in node.nodeName():
+            exchanged.append(node.output().mkString(","))
+        if node.nodeName() == "Sort":
+            sorts.append(node.output().mkString(","))
+        pending += [node.children().apply(i) for i in range(node.children().size())]
+    assert len([o for o in exchanged if "sale_price" in o]) == 1
+    assert not [o for o in exchanged if "sale_price" in o and "tags" in o]
+    assert len([o for o in sorts if "sale_price" in o]) == 1  # by the dedupe, after the exchange
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+
+
+def test_dates_have_parts_by_their_size(spark):
+    days = [date(2026, 1, 1)] * 900 + [date(2026, 2, 1)] * 90 + [date(2026, 3, 1)] * 9 + [None] * 500
+    deals = stamped(spark, *[(f"{i}", "a", d) for i, d in enumerate(days)])
+    dealt = enrich.cells_of_dates(deals, 15)
+    assert dealt.columns == [*deals.columns, enrich.PART]
+    assert rows(dealt.drop(enrich.PART)) == rows(deals)
+    parts = dict(dealt.groupBy("snapshot_date").agg(F.count_distinct(enrich.PART)).collect())
+    assert parts == {date(2026, 1, 1): 10, date(2026, 2, 1): 1, date(2026, 3, 1): 1, None: 1}
+    assert dealt.groupBy("item_id").agg(F.count_distinct(enrich.PART).alias("n")).filter("n > 1").isEmpty()
+    assert enrich.cells_of_dates(deals.limit(0), 15).count() == 0
+
+
+def test_an_option_is_as_before_afterwards(spark, conf):
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    conf(name, "true")
+    with pytest.raises(ZeroDivisionError), option(spark, name, "false"):
+        assert spark.conf.get(name) == "false"
+        1 / 0
+    assert spark.conf.get(name) == "true"
+    with option(spark, name, "false", override=False):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == "true"
+    spark.conf.unset(name)
+    with option(spark, name, "false", override=False):
+        assert spark.conf.get(name) == "false"
+    assert spark.conf.get(name, None) is None
